@@ -16,10 +16,15 @@ def gps_part(gps: Column, which: int) -> Column:
     return F.trim(F.substring_index(gps, ",", which))
 
 
+def is_finite(value: Column) -> Column:
+    """False or NULL for NULL, NaN (above all numbers in Spark) and the infinities."""
+    return F.abs(value) < float("inf")
+
+
 def number_or_null(text: Column) -> Column:
     """Finite double, or NULL for anything else."""
     value = text.try_cast("double")
-    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    return F.when(is_finite(value), value)
 
 
 def integer_or_null(text: Column) -> Column:

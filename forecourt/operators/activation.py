@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt import refdata
@@ -48,24 +48,18 @@ def source_candidates(
     )
 
 
-def score_new_sources(
-    snapshot: DataFrame,
-    as_of: date,
-    ranks: Mapping[str, int] = refdata.SOURCE_RANK,
-    limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
-    max_error_share: float = refdata.MAX_ERROR_SHARE,
-    strict_rank: bool = False,
+def pick_sources(
+    quality: DataFrame, as_of: date, ranks: Mapping[str, int] = refdata.SOURCE_RANK, strict_rank: bool = False
 ) -> DataFrame:
-    """The best-ranked source of every dark station.
+    """The best-ranked source of every dark station, from ``source_quality``.
 
     It is picked before its prices are judged: a best source with too many errors leaves the
-    station dark. Three nested aggregations, no join with the snapshot.
+    station dark.
     """
     rate = source_rank(F.col("source"), ranks, strict_rank)
     best = F.struct(*best_first(rate, F.col("source")), "count_fuel", "check", "count_err")
     return (
-        source_quality(snapshot, as_of, limits, max_error_share)
-        .groupBy("station_id")
+        quality.groupBy("station_id")
         .agg(
             F.sum("shown").alias("shown"),
             F.sum("fresh").alias("fresh"),
@@ -86,6 +80,18 @@ def score_new_sources(
     )
 
 
+def score_new_sources(
+    snapshot: DataFrame,
+    as_of: date,
+    ranks: Mapping[str, int] = refdata.SOURCE_RANK,
+    limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
+    max_error_share: float = refdata.MAX_ERROR_SHARE,
+    strict_rank: bool = False,
+) -> DataFrame:
+    """``pick_sources`` of a snapshot: three nested aggregations, no join with the snapshot."""
+    return pick_sources(source_quality(snapshot, as_of, limits, max_error_share), as_of, ranks, strict_rank)
+
+
 def on_new(scored: DataFrame, as_of: date, rule: str, sources: Iterable[str], days: int) -> DataFrame:
     """Show a source without errors: its rows of the last ``days`` and of the day itself."""
     keys = scored.where((F.col("check") == "OK") & F.col("count_err").isNull() & F.col("source").isin(*sources))
@@ -107,25 +113,37 @@ def on_new_untrusted(
     return on_new(scored, as_of, "on_new_untrusted", sources, days)
 
 
-def on_partial(
-    scored: DataFrame,
-    snapshot: DataFrame,
+def partial_keys(scored: DataFrame, as_of: date, rule: str, sources: Iterable[str], days: int) -> DataFrame:
+    """Best sources with a few errors, as input of ``show_within_limits``."""
+    keys = scored.where(F.col("count_err").isNotNull() & F.col("source").isin(*sources))
+    return chosen_sources(keys, rule, day(as_of, -days))
+
+
+def chosen_sources(keys: DataFrame, rule: str, from_date: Column, hidden_only: bool = False) -> DataFrame:
+    return keys.select(
+        *SOURCE_KEY,
+        F.lit(rule).alias("rule"),
+        from_date.alias("from_date"),
+        F.lit(hidden_only).alias("hidden_only"),
+    )
+
+
+def show_within_limits(
+    chosen: DataFrame,
+    products: DataFrame,
     as_of: date,
-    rule: str,
-    sources: Iterable[str],
-    days: int,
     limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
 ) -> DataFrame:
-    """Show the products within limits of a source with a few errors."""
-    sources = tuple(sources)
-    chosen = scored.where(F.col("count_err").isNotNull() & F.col("source").isin(*sources)).select(*SOURCE_KEY)
-    products = product_summary(snapshot.where(F.col("source").isin(*sources)), as_of)
-    keys = (
-        with_limits(products.join(chosen, SOURCE_KEY, "left_semi"), limits)
-        .where(passes_closed(F.col("price"), F.col("lo"), F.col("hi")))
-        .select(*SOURCE_KEY, "product_id")
+    """Show the products of the chosen sources that pass the closed interval.
+
+    ``products`` is a ``product_summary``. With ``hidden_only`` a product needs a hidden row
+    of the day.
+    """
+    joined = products.select(*SOURCE_KEY, "product_id", "price", "hidden_today").join(chosen, SOURCE_KEY)
+    keys = with_limits(joined.where(~F.col("hidden_only") | (F.col("hidden_today") > 0)), limits).where(
+        passes_closed(F.col("price"), F.col("lo"), F.col("hi"))
     )
-    return change(keys, rule, "t", day(as_of, -days), day(as_of, 1))
+    return change(keys, F.col("rule"), "t", F.col("from_date"), day(as_of, 1))
 
 
 def on_partial_trusted(
@@ -136,7 +154,11 @@ def on_partial_trusted(
     days: int = 0,
     limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
 ) -> DataFrame:
-    return on_partial(scored, snapshot, as_of, "on_partial_trusted", sources, days, limits)
+    """Show the products within limits of a trusted source with a few errors."""
+    sources = tuple(sources)
+    chosen = partial_keys(scored, as_of, "on_partial_trusted", sources, days)
+    products = product_summary(snapshot.where(F.col("source").isin(*sources)), as_of)
+    return show_within_limits(chosen, products, as_of, limits)
 
 
 def on_partial_untrusted(
@@ -147,4 +169,8 @@ def on_partial_untrusted(
     days: int = refdata.UNTRUSTED_WINDOW_DAYS,
     limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
 ) -> DataFrame:
-    return on_partial(scored, snapshot, as_of, "on_partial_untrusted", sources, days, limits)
+    """Show the products within limits of an untrusted source with a few errors."""
+    sources = tuple(sources)
+    chosen = partial_keys(scored, as_of, "on_partial_untrusted", sources, days)
+    products = product_summary(snapshot.where(F.col("source").isin(*sources)), as_of)
+    return show_within_limits(chosen, products, as_of, limits)

@@ -52,7 +52,7 @@ GRAINS = {
 
 def change(
     keys: DataFrame,
-    rule: str,
+    rule: str | Column,
     new_flag: str,
     from_date: date | Column | None = None,
     to_date: date | Column | None = None,

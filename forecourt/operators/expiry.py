@@ -26,6 +26,23 @@ def expired_sources(snapshot: DataFrame, as_of: date, sources: Iterable[str], da
     )
 
 
+def off_expired(
+    snapshot: DataFrame, as_of: date, classes: Iterable[tuple[str, Iterable[str], int]]
+) -> DataFrame:
+    """Expiry changes of several classes of sources (rule, sources, days) in one pass."""
+    rule, limit = F.lit(None).cast("string"), F.lit(None).cast("date")
+    for name, sources, days in classes:
+        is_old = F.col("source").isin(*sources) & (F.col("date_upd") < day(as_of, -days))
+        rule, limit = F.when(is_old, name).otherwise(rule), F.when(is_old, day(as_of, -days)).otherwise(limit)
+    keys = (
+        snapshot.where(F.col("show_in_report") == "t")
+        .select("station_id", "source", rule.alias("rule"), limit.alias("to_date"))
+        .where(F.col("rule").isNotNull())
+        .distinct()
+    )
+    return change(keys, F.col("rule"), "f", to_date=F.col("to_date"))
+
+
 def off_expired_trusted(
     snapshot: DataFrame,
     as_of: date,

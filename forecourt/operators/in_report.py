@@ -14,12 +14,12 @@ from forecourt.operators.changes import change
 from forecourt.operators.summary import PRODUCT_KEY, SOURCE_KEY, source_summary
 
 
-def in_report_new_products(snapshot: DataFrame, as_of: date) -> DataFrame:
-    """(station, source) of the only source shown, where it also has new hidden prices."""
+def only_source(per_source: DataFrame) -> DataFrame:
+    """(station, source) of the only source shown, where it also has new hidden prices.
+    From ``source_summary``."""
     is_shown = F.col("shown") > 0
     return (
-        source_summary(snapshot, as_of)
-        .groupBy("station_id")
+        per_source.groupBy("station_id")
         .agg(
             F.count_if(is_shown).alias("count_source"),
             F.min(F.when(is_shown, F.struct("source", "shown", "fresh"))).alias("only"),
@@ -34,10 +34,18 @@ def in_report_new_products(snapshot: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def _products(
-    snapshot: DataFrame, as_of: date, sources: Iterable[str], window_days: int, price_days: int
+def in_report_new_products(snapshot: DataFrame, as_of: date) -> DataFrame:
+    return only_source(source_summary(snapshot, as_of))
+
+
+def in_report_products(
+    snapshot: DataFrame,
+    as_of: date,
+    sources: Iterable[str] = refdata.TRUSTED_SOURCES,
+    window_days: int = refdata.IN_REPORT_WINDOW_DAYS,
+    price_days: int = refdata.EQUIVALENT_PRICE_DAYS,
 ) -> DataFrame:
-    """What the rule needs to know of every (station, source, product), in one aggregation."""
+    """What both rules need to know of every (station, source, product), in one aggregation."""
     shown, hidden = F.col("show_in_report") == "t", F.col("show_in_report") == "f"
     updated, today = F.col("date_upd"), F.col("date_upd") == day(as_of)
     trusted = F.col("source").isin(*sources)
@@ -50,6 +58,8 @@ def _products(
         F.min(F.when(in_price_window, price)).alias("new_price"),
         F.min(F.when(shown & today, price)).alias("shown_price"),
         F.count_if(shown & (updated < day(as_of))).alias("shown_stale"),
+        F.count_if(shown).alias("shown"),
+        F.count_if(hidden & today & (price > 0)).alias("fresh"),
     )
 
 
@@ -89,28 +99,32 @@ def equivalence_input(
     price_days: int = refdata.EQUIVALENT_PRICE_DAYS,
 ) -> tuple[DataFrame, DataFrame]:
     """Hidden new products of all stations, and the products shown on the day."""
-    products = _products(snapshot, as_of, tuple(sources), window_days, price_days)
+    products = in_report_products(snapshot, as_of, tuple(sources), window_days, price_days)
     return (
         products.where(F.col("hidden_new") > 0).select(*PRODUCT_KEY, "new_price"),
         products.where(F.col("shown_price").isNotNull()).select(*PRODUCT_KEY, "shown_price"),
     )
 
 
-def on_in_report_new(
-    snapshot: DataFrame,
+def base_sources(products: DataFrame) -> DataFrame:
+    """``only_source`` from ``in_report_products``."""
+    per_source = products.groupBy(*SOURCE_KEY).agg(F.sum("shown").alias("shown"), F.sum("fresh").alias("fresh"))
+    return only_source(per_source).select(*SOURCE_KEY)
+
+
+def show_new_products(
+    products: DataFrame,
+    base: DataFrame,
     as_of: date,
     sources: Iterable[str] = refdata.TRUSTED_SOURCES,
     window_days: int = refdata.IN_REPORT_WINDOW_DAYS,
-    price_days: int = refdata.EQUIVALENT_PRICE_DAYS,
     limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
     groups=refdata.EQUIVALENT_PRODUCTS,
 ) -> DataFrame:
     """Show new products of the only source, unless the same fuel is shown at that price."""
-    sources = tuple(sources)
-    base = in_report_new_products(snapshot, as_of).select(*SOURCE_KEY)
-    products = _products(snapshot, as_of, sources, window_days, price_days).join(base, SOURCE_KEY, "left_semi")
+    concerned = products.where(F.col("hidden_new") > 0).join(base, SOURCE_KEY, "left_semi")
     valid = (
-        with_limits(products.where(F.col("hidden_new") > 0), limits)
+        with_limits(concerned, limits)
         .where(passes_closed(F.col("price"), F.col("lo"), F.col("hi")))
         .select(*PRODUCT_KEY, "new_price")
     )
@@ -119,11 +133,30 @@ def on_in_report_new(
     return change(keys, "on_in_report_new", "t", start, day(as_of, 1))
 
 
+def hide_stale_products(
+    products: DataFrame, base: DataFrame, skip_sources: Iterable[str] = refdata.UNTRUSTED_SOURCES
+) -> DataFrame:
+    """Hide the older products of the only source once it has new prices."""
+    stale = products.where((F.col("shown_stale") > 0) & ~F.col("source").isin(*skip_sources)).select(*PRODUCT_KEY)
+    return change(stale.join(base, SOURCE_KEY, "left_semi"), "off_stale_in_report", "f")
+
+
+def on_in_report_new(
+    snapshot: DataFrame,
+    as_of: date,
+    sources: Iterable[str] = refdata.TRUSTED_SOURCES,
+    window_days: int = refdata.IN_REPORT_WINDOW_DAYS,
+    price_days: int = refdata.EQUIVALENT_PRICE_DAYS,
+    limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
+    groups=refdata.EQUIVALENT_PRODUCTS,
+) -> DataFrame:
+    sources = tuple(sources)
+    products = in_report_products(snapshot, as_of, sources, window_days, price_days)
+    return show_new_products(products, base_sources(products), as_of, sources, window_days, limits, groups)
+
+
 def off_stale_in_report(
     snapshot: DataFrame, as_of: date, skip_sources: Iterable[str] = refdata.UNTRUSTED_SOURCES
 ) -> DataFrame:
-    """Hide the older products of the only source once it has new prices."""
-    base = in_report_new_products(snapshot, as_of).where(~F.col("source").isin(*skip_sources))
-    stale = snapshot.where((F.col("show_in_report") == "t") & (F.col("date_upd") < day(as_of)))
-    keys = stale.select(*PRODUCT_KEY).distinct().join(base.select(*SOURCE_KEY), SOURCE_KEY, "left_semi")
-    return change(keys, "off_stale_in_report", "f")
+    products = in_report_products(snapshot, as_of)
+    return hide_stale_products(products, base_sources(products), skip_sources)

@@ -49,7 +49,8 @@ def _bucketed(spots: DataFrame, keep: int, bucket_rows: int, tile_rows: int) ->
     placed = spots.select("lat", "lon", "ids", x.alias("x"), y.alias("y"), z.alias("z")).withColumn(
         "curve", morton(F.col("x"), F.col("y"), F.col("z"))
     )
-    tiles = max(1, spots.count() // tile_rows)
+    placed = materialise(placed, "spots-placed")
+    tiles = max(1, placed.count() // tile_rows)
     along = Window.partitionBy("tile").orderBy("curve", "lat", "lon")
     here = F.struct("x", "y", "z")
     near = F.collect_list(here).over(along.rowsBetween(1 - keep, keep - 1))
@@ -109,6 +110,7 @@ def nearest_spots(
     cell_keys = ["level", "cx", "cy", "cz"]
     asked = (
         _query_cells(data)
+        .hint("merge")  # the planner does not see how far the explode grows this side
         .join(_bucket_cells(data, levels), cell_keys)
         .where(sum((d * d for d in outside), F.lit(0.0)) <= F.col("reach") * F.col("reach"))
         .select("bucket", "spot", "lat", "lon", "reach", F.struct("x", "y", "z").alias("at"), *cell_keys)
@@ -140,7 +142,7 @@ def knn_pairs(
     radius_km: float = refdata.EARTH_RADIUS_KM,
     include_self: bool = True,
     bucket_rows: int = 32,
-    tile_rows: int = 8192,
+    tile_rows: int = 4096,
 ) -> DataFrame:
     """(point1, point2, rank, 'dist, km') of the k nearest points of every point.
 

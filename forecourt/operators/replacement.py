@@ -9,21 +9,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt import refdata
-from forecourt.functions.prices import best_first, day, fails_open, passes_closed, source_rank, with_limits
+from forecourt.functions.prices import best_first, day, source_rank
+from forecourt.operators.activation import chosen_sources, show_within_limits
 from forecourt.operators.changes import change
-from forecourt.operators.summary import PRODUCT_KEY, SOURCE_KEY, product_summary, source_summary
+from forecourt.operators.summary import limit_check, product_summary, source_summary
 
 
-def source_replacement(
-    snapshot: DataFrame,
-    as_of: date,
+def pick_replacements(
+    per_source: DataFrame,
     replaceable: Iterable[str] = refdata.REPLACEABLE_SOURCES,
     replacing: Iterable[str] = refdata.REPLACING_SOURCES,
     ranks: Mapping[str, int] = refdata.SOURCE_RANK,
     strict_rank: bool = False,
 ) -> DataFrame:
     """(station, old source, new source): the only source shown is a replaceable one, and a
-    reliable one has new hidden prices. All from one aggregation per station."""
+    reliable one has new hidden prices. From ``source_summary`` or ``source_quality``."""
     replaceable, replacing = tuple(replaceable), tuple(replacing)
     source, is_shown = F.col("source"), F.col("shown") > 0
     offered = source.isin(*replacing) & (F.col("fresh") > 0)
@@ -31,8 +31,7 @@ def source_replacement(
     if strict_rank:
         rate = F.when(offered, source_rank(source, ranks, strict=True))
     return (
-        source_summary(snapshot, as_of)
-        .groupBy("station_id")
+        per_source.groupBy("station_id")
         .agg(
             F.count_if(is_shown).alias("count_source"),
             F.min(F.when(is_shown & source.isin(*replaceable), source)).alias("old_source"),
@@ -43,6 +42,17 @@ def source_replacement(
     )
 
 
+def source_replacement(
+    snapshot: DataFrame,
+    as_of: date,
+    replaceable: Iterable[str] = refdata.REPLACEABLE_SOURCES,
+    replacing: Iterable[str] = refdata.REPLACING_SOURCES,
+    ranks: Mapping[str, int] = refdata.SOURCE_RANK,
+    strict_rank: bool = False,
+) -> DataFrame:
+    return pick_replacements(source_summary(snapshot, as_of), replaceable, replacing, ranks, strict_rank)
+
+
 def coalesce_update(own: DataFrame, other: DataFrame, key: str, column: str) -> DataFrame:
     """Overwrite ``column`` where ``other`` has a non-null value for the key."""
     newer = other.select(key, F.col(column).alias("_newer"))
@@ -63,36 +73,31 @@ def on_replacing_source(
     limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
 ) -> DataFrame:
     """Show the new hidden products within limits of the new source."""
-    chosen = replacements.select("station_id", F.col("new_source").alias("source"))
     products = product_summary(snapshot.where(F.col("source").isin(*replacing)), as_of)
-    keys = (
-        with_limits(products.where(F.col("hidden_today") > 0).join(chosen, SOURCE_KEY, "left_semi"), limits)
-        .where(passes_closed(F.col("price"), F.col("lo"), F.col("hi")))
-        .select(*PRODUCT_KEY)
-    )
-    return change(keys, "on_replacing_source", "t", day(as_of), day(as_of, 1))
+    return show_within_limits(replacing_keys(replacements, as_of), products, as_of, limits)
 
 
-def count_race(
-    snapshot: DataFrame,
-    as_of: date,
-    shown_source: str = "api_yandex_fuel",
-    rival: str = "api_benzuber",
-    limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
+def replacing_keys(replacements: DataFrame, as_of: date) -> DataFrame:
+    """New sources, as input of ``show_within_limits``."""
+    keys = replacements.select("station_id", F.col("new_source").alias("source"))
+    return chosen_sources(keys, "on_replacing_source", day(as_of), hidden_only=True)
+
+
+def pick_race(
+    quality: DataFrame, shown_source: str = "api_yandex_fuel", rival: str = "api_benzuber"
 ) -> DataFrame:
     """Stations where the rival has at least as many new hidden rows as are shown now.
 
-    ``rival_bad`` counts the rival's rows, of any date, that fail the open interval.
+    From ``source_quality``; ``rival_bad`` counts the rival's rows, of any date, that fail the open interval.
     """
-    products = with_limits(product_summary(snapshot.where(F.col("source").isin(shown_source, rival)), as_of), limits)
-    bad = fails_open(F.col("price"), F.col("lo"), F.col("hi"))
     is_rival = F.col("source") == rival
     return (
-        products.groupBy("station_id")
+        quality.where(F.col("source").isin(shown_source, rival))
+        .groupBy("station_id")
         .agg(
             F.sum(F.when(is_rival, F.col("hidden_today")).otherwise(0)).alias("rival_rows"),
             F.sum(F.when(~is_rival, F.col("shown")).otherwise(0)).alias("shown_rows"),
-            F.sum(F.when(is_rival & bad, F.col("total")).otherwise(0)).alias("rival_bad"),
+            F.sum(F.when(is_rival, F.col("bad")).otherwise(0)).alias("rival_bad"),
         )
         .where(
             (F.col("shown_rows") > 0) & (F.col("rival_rows") > 0) & (F.col("rival_rows") >= F.col("shown_rows"))
@@ -100,6 +105,17 @@ def count_race(
     )
 
 
+def count_race(
+    snapshot: DataFrame,
+    as_of: date,
+    shown_source: str = "api_yandex_fuel",
+    rival: str = "api_benzuber",
+    limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
+) -> DataFrame:
+    both = snapshot.where(F.col("source").isin(shown_source, rival))
+    return pick_race(limit_check(both, as_of, limits), shown_source, rival)
+
+
 def off_yandex_for_benzuber(race: DataFrame, shown_source: str = "api_yandex_fuel") -> DataFrame:
     """Hide the shown source where the rival wins without a bad price."""
     keys = race.where(F.col("rival_bad") == 0).select("station_id", F.lit(shown_source).alias("source"))

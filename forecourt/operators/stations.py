@@ -29,11 +29,11 @@ def station_points(
 ) -> DataFrame:
     """(id, lat, lon) in degrees. Coordinates that are no numbers are left out; see
     ``malformed_points``."""
-    lat, lon = text.number_or_null(F.col("lat_text")), text.number_or_null(F.col("lon_text"))
+    lat, lon = F.col("lat_text").try_cast("double"), F.col("lon_text").try_cast("double")
     return (
         located_stations(stations, addresses, statuses)
         .select(F.col("gs_id").alias("id"), lat.alias("lat"), lon.alias("lon"))
-        .where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+        .where(text.is_finite(F.col("lat")) & text.is_finite(F.col("lon")))
     )
 
 

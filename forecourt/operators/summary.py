@@ -47,11 +47,12 @@ def source_summary(snapshot: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def limit_check(
-    snapshot: DataFrame, as_of: date, limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS
+def count_failing(
+    products: DataFrame, limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS
 ) -> DataFrame:
-    """``source_summary`` with ``bad``: rows whose product's price fails the open interval."""
-    per_product = with_limits(product_summary(snapshot, as_of), limits)
+    """Row counts per (station, source) of a ``product_summary``, with ``bad``: rows whose
+    product's price fails the open interval."""
+    per_product = with_limits(products, limits)
     bad = fails_open(F.col("price"), F.col("lo"), F.col("hi"))
     return per_product.groupBy(*SOURCE_KEY).agg(
         F.sum("total").alias("total"),
@@ -63,22 +64,36 @@ def limit_check(
     )
 
 
-def source_quality(
-    snapshot: DataFrame,
-    as_of: date,
+def limit_check(
+    snapshot: DataFrame, as_of: date, limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS
+) -> DataFrame:
+    return count_failing(product_summary(snapshot, as_of), limits)
+
+
+def judge_sources(
+    products: DataFrame,
     limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
     max_error_share: float = refdata.MAX_ERROR_SHARE,
 ) -> DataFrame:
-    """``limit_check`` with the verdict: OK, 'err' above the share, else OK with ``count_err``."""
+    """``count_failing`` with the verdict: OK, 'err' above the share, else OK with ``count_err``."""
     too_many = F.col("bad") / F.col("total") > max_error_share
     partial = (F.col("bad") > 0) & ~too_many
-    return limit_check(snapshot, as_of, limits).select(
+    return count_failing(products, limits).select(
         "*",
         F.when(too_many, "err").otherwise("OK").alias("check"),
         F.when(partial, F.col("bad")).alias("count_err"),
     )
 
 
+def source_quality(
+    snapshot: DataFrame,
+    as_of: date,
+    limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
+    max_error_share: float = refdata.MAX_ERROR_SHARE,
+) -> DataFrame:
+    return judge_sources(product_summary(snapshot, as_of), limits, max_error_share)
+
+
 def count_fuel(snapshot: DataFrame) -> DataFrame:
     """Rows per (station, source, date) and per (station, source)."""
     per_day = snapshot.groupBy(*SOURCE_KEY, "date_upd").agg(F.count(F.lit(1)).alias("count_fuel"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from forecourt import refdata
 from forecourt.functions.prices import day
-from forecourt.operators import activation, expiry, extract, in_report, replacement
+from forecourt.operators import activation, expiry, extract, in_report, replacement, summary
 from forecourt.operators.changes import apply_changes, union_all
 from forecourt.session import materialise
 
@@ -27,21 +27,43 @@ class PriceTables:
 
 
 def expiry_changes(snapshot: DataFrame, as_of: date) -> DataFrame:
-    return union_all([expiry.off_expired_trusted(snapshot, as_of), expiry.off_expired_untrusted(snapshot, as_of)])
+    return expiry.off_expired(
+        snapshot,
+        as_of,
+        (
+            ("off_expired_trusted", refdata.TRUSTED_SOURCES, refdata.TRUSTED_EXPIRY_DAYS),
+            ("off_expired_untrusted", refdata.UNTRUSTED_SOURCES, refdata.UNTRUSTED_EXPIRY_DAYS),
+        ),
+    )
 
 
 def source_changes(snapshot: DataFrame, as_of: date) -> DataFrame:
-    scored = activation.score_new_sources(snapshot, as_of)
-    swaps = replacement.source_replacement(snapshot, as_of)
-    race = replacement.count_race(snapshot, as_of)
+    """The rules share one summary per product and, from it, one per source; the products to
+    show for three of them come from one join."""
+    products = materialise(summary.product_summary(snapshot, as_of), "products")
+    quality = materialise(summary.judge_sources(products), "sources")
+    scored = activation.pick_sources(quality, as_of)
+    swaps = replacement.pick_replacements(quality)
+    race = replacement.pick_race(quality)
+    chosen = union_all(
+        [
+            activation.partial_keys(scored, as_of, "on_partial_trusted", refdata.TRUSTED_SOURCES, 0),
+            activation.partial_keys(
+                scored,
+                as_of,
+                "on_partial_untrusted",
+                refdata.UNTRUSTED_SOURCES,
+                refdata.UNTRUSTED_WINDOW_DAYS,
+            ),
+            replacement.replacing_keys(swaps, as_of),
+        ]
+    )
     return union_all(
         [
             activation.on_new_trusted(scored, as_of),
             activation.on_new_untrusted(scored, as_of),
-            activation.on_partial_trusted(scored, snapshot, as_of),
-            activation.on_partial_untrusted(scored, snapshot, as_of),
+            activation.show_within_limits(chosen, products, as_of),
             replacement.off_replaced_source(swaps),
-            replacement.on_replacing_source(swaps, snapshot, as_of),
             replacement.off_yandex_for_benzuber(race),
             replacement.on_benzuber(race, as_of),
             expiry.off_out_of_bounds(snapshot),
@@ -50,8 +72,10 @@ def source_changes(snapshot: DataFrame, as_of: date) -> DataFrame:
 
 
 def in_report_changes(snapshot: DataFrame, as_of: date) -> DataFrame:
+    products = materialise(in_report.in_report_products(snapshot, as_of), "in-report-products")
+    base = in_report.base_sources(products)
     return union_all(
-        [in_report.on_in_report_new(snapshot, as_of), in_report.off_stale_in_report(snapshot, as_of)]
+        [in_report.show_new_products(products, base, as_of), in_report.hide_stale_products(products, base)]
     )
 
 

@@ -37,20 +37,26 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber AS ln",
         "l_partkey AS pk",
     )
-    first = F.min(F.struct("price", "show_in_report", "ln", "pk", "age_days")).alias("first")
-    updated = F.date_sub(F.lit(AS_OF), F.col("first.age_days")).cast("timestamp") + F.expr("INTERVAL 10 HOURS")
-    return (
-        raw.groupBy("station_id", "product_id", "source")
-        .agg(first)
-        .select(
-            "station_id",
-            "product_id",
-            "source",
-            "first.price",
-            "first.show_in_report",
-            updated.alias("updated_at"),
-            F.lit(0).cast("bigint").alias("updated_by_id"),
-        )
+    # the row with the lowest (price, show_in_report, ln, pk, age_days), packed into one number
+    # so that the aggregation hashes instead of sorting; part keys have 40 bits here
+    packed = raw.selectExpr(
+        "station_id",
+        "product_id",
+        "source",
+        """(shiftleft(CAST(price * 10 AS BIGINT), 45) | shiftleft(CAST(show_in_report = 't' AS BIGINT), 44)
+            | shiftleft(CAST(ln AS BIGINT), 41) | shiftleft(pk, 1) | CAST(age_days > 0 AS BIGINT)) AS packed""",
+    )
+    lowest = packed.groupBy("station_id", "product_id", "source").agg(F.min("packed").alias("p"))
+    return lowest.selectExpr(
+        "station_id",
+        "product_id",
+        "source",
+        "CAST(shiftright(p, 45) AS DOUBLE) / 10 AS price",
+        "CASE WHEN (shiftright(p, 44) & 1L) = 1 THEN 't' ELSE 'f' END AS show_in_report",
+        """CAST(date_sub(DATE '2024-01-31', CASE WHEN (p & 1L) = 1
+             THEN CAST((shiftright(p, 1) & 1099511627775L) % 28 AS INT) ELSE 0 END) AS TIMESTAMP)
+             + INTERVAL 10 HOURS AS updated_at""",
+        "0L AS updated_by_id",
     )
 
 

@@ -25,7 +25,7 @@ from forecourt.operators import (
     summary,
 )
 from forecourt.plans import enrichment, nearest, visibility
-from forecourt.session import shared_folder, tune
+from forecourt.session import materialise, shared_folder, tune
 from forecourt.sources.readers import read_ids
 from workload import fixtures as fx
 from workload.fixtures import AS_OF
@@ -86,7 +86,7 @@ def classed_pairs(spark, sf):
 
 def all_changes(spark, sf):
     """Changes of every rule, all computed on the initial snapshot."""
-    snap = fx.snapshot(spark, sf)
+    snap = materialise(fx.snapshot(spark, sf), "snapshot")
     return changes.union_all([rules(snap, AS_OF) for _, rules, _ in visibility.STAGES])
 
 
