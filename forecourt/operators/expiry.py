@@ -29,7 +29,7 @@ def expired_sources(snapshot: DataFrame, as_of: date, sources: Iterable[str], da
 def off_expired(
     snapshot: DataFrame, as_of: date, classes: Iterable[tuple[str, Iterable[str], int]]
 ) -> DataFrame:
-    """Expiry changes of several classes of sources (rule, sources, days) in one pass."""
+    """Expiry changes of several disjoint classes of sources (rule, sources, days) in one pass."""
     rule, limit = F.lit(None).cast("string"), F.lit(None).cast("date")
     for name, sources, days in classes:
         is_old = F.col("source").isin(*sources) & (F.col("date_upd") < day(as_of, -days))
@@ -77,6 +77,12 @@ def off_out_of_bounds(snapshot: DataFrame, bounds: tuple[float, float] = refdata
     return change(out_of_bounds(snapshot, bounds), "off_out_of_bounds", "f")
 
 
+def off_products_beyond(products: DataFrame) -> DataFrame:
+    """``off_out_of_bounds`` from a ``product_summary``."""
+    keys = products.where(F.col("shown_beyond") > 0).select("station_id", "source", "product_id")
+    return change(keys, "off_out_of_bounds", "f")
+
+
 def diesel_duplicates(snapshot: DataFrame, products: Iterable[int] = refdata.DIESEL_PRODUCTS) -> DataFrame:
     """Stations that show several diesel rows at one price, with the oldest row's product.
 

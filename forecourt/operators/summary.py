@@ -20,15 +20,20 @@ PRODUCT_KEY = ["station_id", "source", "product_id"]
 SOURCE_KEY = ["station_id", "source"]
 
 
-def product_summary(snapshot: DataFrame, as_of: date) -> DataFrame:
-    """One row per (station, source, product); ``price`` is the lowest of its rows."""
+def product_summary(
+    snapshot: DataFrame, as_of: date, bounds: tuple[float, float] = refdata.GLOBAL_BOUNDS
+) -> DataFrame:
+    """One row per (station, source, product); ``price`` is the lowest of its rows and
+    ``shown_beyond`` counts the shown ones outside the bounds for all fuels."""
     shown, hidden = F.col("show_in_report") == "t", F.col("show_in_report") == "f"
+    beyond = (F.col("price") < bounds[0]) | (F.col("price") > bounds[1])
     today = F.col("date_upd") == day(as_of)
     return snapshot.groupBy(*PRODUCT_KEY).agg(
         F.min("price").alias("price"),
         F.count(F.lit(1)).alias("total"),
         F.count_if(today).alias("count_fuel"),
         F.count_if(shown).alias("shown"),
+        F.count_if(shown & beyond).alias("shown_beyond"),
         F.count_if(hidden & today).alias("hidden_today"),
         F.count_if(hidden & today & (F.col("price") > 0)).alias("fresh"),
     )

@@ -66,7 +66,7 @@ def source_changes(snapshot: DataFrame, as_of: date) -> DataFrame:
             replacement.off_replaced_source(swaps),
             replacement.off_yandex_for_benzuber(race),
             replacement.on_benzuber(race, as_of),
-            expiry.off_out_of_bounds(snapshot),
+            expiry.off_products_beyond(products),
         ]
     )
 
@@ -96,8 +96,9 @@ def visibility_changes(tables: PriceTables, as_of: date) -> DataFrame:
     """All changes of one run, stage by stage.
 
     The stages work on the recent rows of the stations in scope, with the columns the rules
-    need: no rule can see any other row, whatever the stages before it changed. Only the
-    change-sets, not the table, are carried on.
+    need: no rule can see any other row, whatever the stages before it changed. These rows
+    are written once. What a stage sees is these rows with the changes so far, applied in
+    one pass while they are read; only the change-sets are carried on.
     """
     clients = extract.client_stations(tables.customer_stations, tables.customers)
     protected = extract.protected_stations(clients, tables.competitors)
@@ -109,12 +110,12 @@ def visibility_changes(tables: PriceTables, as_of: date) -> DataFrame:
         .join(scope, "station_id", "left_semi")
     )
     working = materialise(working, "prices-in-scope")
-    done = []
+    done: list[DataFrame] = []
+    touched: set[str] = set()
     for stage, rules, grains in STAGES:
-        changes = materialise(rules(extract.as_snapshot(working, as_of), as_of), f"changes-{stage}")
-        done.append(changes)
-        if stage != STAGES[-1][0]:
-            working = materialise(apply_changes(working, changes, grains=grains), f"prices-after-{stage}")
+        current = apply_changes(working, union_all(done), grains=sorted(touched)) if done else working
+        done.append(materialise(rules(extract.as_snapshot(current, as_of), as_of), f"changes-{stage}"))
+        touched.update(grains)
     return union_all(done)
 
 

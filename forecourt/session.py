@@ -32,6 +32,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "forecou
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
