@@ -72,6 +72,8 @@ def with_limits(
 ) -> DataFrame:
     """Add ``lo`` and ``hi`` for the row's product."""
     dim = refdata.limits_frame(df.sparkSession, limits)
+    if len(limits) <= refdata.BROADCAST_ROWS:
+        dim = F.broadcast(dim)
     return (
         df.join(dim, "product_id", "left")
         .withColumn("lo", F.coalesce("lo", F.lit(default[0])))

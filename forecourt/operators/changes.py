@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from forecourt import refdata
 from forecourt.functions.prices import lookup
+from forecourt.operators.skew import group_apart
 
 CHANGE_COLUMNS = {
     "rule": "string",
@@ -106,7 +107,7 @@ def apply_changes(
     gathered, result = [], table
     for grain in grains:
         keys, name = GRAINS[grain], f"_{grain}_changes"
-        per_key = changes.where(grain_filter(grain)).groupBy(*keys).agg(F.collect_set(step).alias(name))
+        per_key = group_apart(changes.where(grain_filter(grain)), keys, F.collect_set(step).alias(name))
         result = result.join(per_key, keys, "left")
         gathered.append(name)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from forecourt import refdata
 from forecourt.functions.prices import day, source_class
 from forecourt.operators.knn import DISTANCE
+from forecourt.operators.skew import group_apart
 
 
 def class_compatible(
@@ -66,11 +67,8 @@ def best_price_class(price_sources: DataFrame) -> DataFrame:
         .groupBy("parcon_id", "type_source")
         .agg(F.count("source").alias("source_count"))
     )
-    return (
-        per_class.groupBy("parcon_id")
-        .agg(F.min(F.struct("type_source", "source_count")).alias("best"))
-        .select("parcon_id", "best.type_source", "best.source_count")
-    )
+    best = group_apart(per_class, ["parcon_id"], F.min(F.struct("type_source", "source_count")).alias("best"))
+    return best.select("parcon_id", "best.type_source", "best.source_count")
 
 
 def nearest_competitors(enriched: DataFrame, best_class: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from forecourt import refdata
 from forecourt.functions.prices import clean_price, recent, shown_flag
+from forecourt.operators.skew import group_apart
+from forecourt.session import materialise
 
 
 def client_stations(
@@ -35,7 +37,8 @@ def protected_stations(clients: DataFrame, competitors: DataFrame) -> DataFrame:
         clients.select(F.col("id").alias("customer_station_id")), "customer_station_id", "left_semi"
     ).select("station_id")
     # one distinct over the union is enough
-    return rivals.union(clients.select("station_id")).where(F.col("station_id").isNotNull()).distinct()
+    both = rivals.union(clients.select("station_id")).where(F.col("station_id").isNotNull())
+    return group_apart(both, ["station_id"])
 
 
 def exclude_stations(df: DataFrame, stations: DataFrame) -> DataFrame:
@@ -51,6 +54,16 @@ def stations_in_scope(stations: DataFrame, protected: DataFrame, max_region: int
     return exclude_stations(ids, protected)
 
 
+def in_scope(
+    df: DataFrame, stations: DataFrame, customer_stations: DataFrame, customers: DataFrame, competitors: DataFrame
+) -> DataFrame:
+    """Rows of the stations in scope. Their ids are written out first: Spark then knows how
+    many there are, and broadcasts them or splits the rows of a hot station."""
+    protected = protected_stations(client_stations(customer_stations, customers), competitors)
+    scope = materialise(stations_in_scope(stations, protected), "stations-in-scope")
+    return df.join(scope, "station_id", "left_semi")
+
+
 def recency_filter(
     prices: DataFrame, as_of: date, shown_days: int = refdata.SHOWN_DAYS, hidden_days: int = refdata.HIDDEN_DAYS
 ) -> DataFrame:
@@ -78,6 +91,4 @@ def price_extract(
     as_of: date,
 ) -> DataFrame:
     """Recent prices of the stations in scope."""
-    clients = client_stations(customer_stations, customers)
-    scope = stations_in_scope(stations, protected_stations(clients, competitors))
-    return as_snapshot(prices, as_of).join(scope, "station_id", "left_semi")
+    return in_scope(as_snapshot(prices, as_of), stations, customer_stations, customers, competitors)

@@ -14,6 +14,7 @@ DISTANCE_DIGITS = 6  # a millimetre; nearer than that is a tie, decided by the i
 MARGIN = 1e-9  # chord length; covers that rounding and double arithmetic
 DEEPEST_LEVEL = 30
 WHOLE_SPHERE = 2.0
+MOST_TILE_ROWS = 500_000
 
 
 def _cell(v: Column, level: Column) -> Column:
@@ -50,7 +51,9 @@ def _bucketed(spots: DataFrame, keep: int, bucket_rows: int, tile_rows: int) ->
         "curve", morton(F.col("x"), F.col("y"), F.col("z"))
     )
     placed = materialise(placed, "spots-placed")
-    tiles = max(1, placed.count() // tile_rows)
+    count = placed.count()
+    parallel = int(spots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = max(1, min(count // tile_rows, max(parallel, count // MOST_TILE_ROWS)))
     along = Window.partitionBy("tile").orderBy("curve", "lat", "lon")
     here = F.struct("x", "y", "z")
     near = F.collect_list(here).over(along.rowsBetween(1 - keep, keep - 1))
@@ -142,7 +145,7 @@ def knn_pairs(
     radius_km: float = refdata.EARTH_RADIUS_KM,
     include_self: bool = True,
     bucket_rows: int = 32,
-    tile_rows: int = 4096,
+    tile_rows: int = 2048,
 ) -> DataFrame:
     """(point1, point2, rank, 'dist, km') of the k nearest points of every point.
 

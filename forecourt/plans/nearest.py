@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from forecourt.operators import competitors, knn, stations
+from forecourt.session import materialise
 
 
 @dataclass(frozen=True)
@@ -20,9 +21,17 @@ class StationTables:
     prices: DataFrame  # station_id, source, updated_at
 
 
-def nearest_competitors(tables: StationTables, k: int, as_of: date) -> DataFrame:
+def enriched_pairs(tables: StationTables, k: int) -> DataFrame:
+    """Neighbour pairs with both ends' data. The directory is joined twice, so it is written
+    once; Spark then broadcasts it if it is small."""
     points = stations.station_points(tables.stations, tables.addresses)
-    directory = stations.station_directory(tables.stations, tables.addresses, tables.brands, tables.regions)
-    enriched = competitors.competitor_enrich(knn.knn_pairs(points, k), directory)
+    directory = materialise(
+        stations.station_directory(tables.stations, tables.addresses, tables.brands, tables.regions), "directory"
+    )
+    return competitors.competitor_enrich(knn.knn_pairs(points, k), directory)
+
+
+def nearest_competitors(tables: StationTables, k: int, as_of: date) -> DataFrame:
+    enriched = enriched_pairs(tables, k)
     sources = competitors.competitor_price_sources(tables.price_stations, tables.prices, as_of)
     return competitors.nearest_competitors(enriched, competitors.best_price_class(sources))

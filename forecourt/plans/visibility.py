@@ -100,14 +100,10 @@ def visibility_changes(tables: PriceTables, as_of: date) -> DataFrame:
     are written once. What a stage sees is these rows with the changes so far, applied in
     one pass while they are read; only the change-sets are carried on.
     """
-    clients = extract.client_stations(tables.customer_stations, tables.customers)
-    protected = extract.protected_stations(clients, tables.competitors)
-    scope = extract.stations_in_scope(tables.stations, protected)
     longest = max(refdata.SHOWN_DAYS, refdata.HIDDEN_DAYS)
-    working = (
-        tables.prices.where(F.col("updated_at") > day(as_of, -longest))
-        .select(*WORKING_COLUMNS)
-        .join(scope, "station_id", "left_semi")
+    recent = tables.prices.where(F.col("updated_at") > day(as_of, -longest)).select(*WORKING_COLUMNS)
+    working = extract.in_scope(
+        recent, tables.stations, tables.customer_stations, tables.customers, tables.competitors
     )
     working = materialise(working, "prices-in-scope")
     done: list[DataFrame] = []

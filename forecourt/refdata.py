@@ -159,8 +159,11 @@ EQUIVALENT_PRICE_DAYS = 16
 UPDATED_BY_ID = 1
 
 
+BROADCAST_ROWS = 100_000  # a fixed dimension up to this many rows is sent to every task
+
+
 def limits_frame(spark: SparkSession, limits: Mapping[int, tuple[float, float]]) -> DataFrame:
-    """Limits as a relation whose size the planner knows, so it broadcasts without a hint."""
+    """Limits as a relation whose size the planner knows."""
     if not limits:
         return spark.sql("SELECT 0L AS product_id, 0D AS lo, 0D AS hi WHERE false")
     rows = ", ".join(f"({int(p)}L, {float(lo)!r}D, {float(hi)!r}D)" for p, (lo, hi) in limits.items())

@@ -476,7 +476,7 @@ def competitor_sequence(spark, sf):
 
 @query
 def competitor_enrich(spark, sf):
-    return competitors.competitor_enrich(knn.knn_pairs(points(spark, sf), K), directory(spark, sf))
+    return nearest.enriched_pairs(fx.station_tables(spark, sf), K)
 
 
 @query
