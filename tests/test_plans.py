@@ -6,7 +6,8 @@ import pytest
 from helpers import AS_OF, plan, rows, table
 from pyspark.sql import functions as F
 
-from forecourt.operators import activation, expiry, extract, in_report, replacement
+from forecourt import refdata
+from forecourt.operators import activation, expiry, extract, in_report
 from forecourt.operators.changes import CHANGE_SCHEMA, apply_changes
 from workload.queries import QUERIES
 
@@ -42,7 +43,10 @@ def test_rules_read_only_what_they_need(spark, stored):
     text = expiry.off_out_of_bounds(snap)._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
-    assert "GreaterThan(price,110.0)" in text
+    pushed = next(line for line in text.splitlines() if "PushedFilters" in line)
+    assert "EqualTo(show_in_report,t)" in pushed
+    schema = next(line for line in text.splitlines() if "ReadSchema" in line)
+    assert "unused" not in schema and "updated_by_id" not in schema
 
 
 def test_scoring_shuffles_three_times(spark, stored):
@@ -126,7 +130,8 @@ def test_a_hot_station_is_split_when_stations_are_excluded(shuffling):
     prices = hot_table(spark)
     kept = extract.in_scope(prices, stations, links, customers, rivals)
     assert "skew=true" in final_plan(kept)
-    assert kept.count() == prices.where("station_id = 7 OR (station_id BETWEEN 200 AND 4199 AND station_id NOT IN (300, 301))").count()
+    inside = "station_id = 7 OR (station_id BETWEEN 200 AND 4199 AND station_id NOT IN (300, 301))"
+    assert kept.count() == prices.where(inside).count()
     protected = extract.protected_stations(links.select("id", "station_id"), rivals)
     left = extract.exclude_stations(prices, protected)
     assert "skew=true" in final_plan(left)
@@ -137,10 +142,10 @@ def test_a_hot_source_is_split_in_the_rules(shuffling):
     snap = extract.as_snapshot(hot_table(spark).drop("padding"), AS_OF)
     new = in_report.on_in_report_new(snap, AS_OF)
     assert "skew=true" in final_plan(new)
-    assert new.where("station_id = 7").count() == snap.where("station_id = 7 AND show_in_report = 'f'").select("product_id").distinct().count() - len(
-        rows(
-            in_report.equivalent_product_dup(*in_report.equivalence_input(snap.where("station_id = 7"), AS_OF)),
-            "product_id",
-        )
-    ) - snap.where("station_id = 7 AND show_in_report = 'f' AND product_id IN (178, 179, 308, 189, 204, 133, 156)").select("product_id").distinct().where("product_id IN (178, 179, 308)").count()
-    assert replacement.source_replacement(snap, AS_OF).count() == 0
+    at_hot = snap.where("station_id = 7")
+    hidden = {p for (p,) in rows(at_hot.where("show_in_report = 'f'"), "product_id")}
+    shown = {p for (p,) in rows(at_hot.where("show_in_report = 't'"), "product_id")}
+    groups = [set(g) for g in refdata.EQUIVALENT_PRODUCTS]
+    twins = {p for p in hidden for g in groups if p in g and shown & (g - {p})}
+    too_dear = {p for p, (_, hi) in refdata.PRICE_LIMITS.items() if hi < 60.0}
+    assert {p for (p,) in rows(new.where("station_id = 7"), "product_id")} == hidden - twins - too_dear
