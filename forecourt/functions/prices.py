@@ -92,7 +92,10 @@ def recent(
     shown_days: int = refdata.SHOWN_DAYS,
     hidden_days: int = refdata.HIDDEN_DAYS,
 ) -> Column:
-    """Shown rows live longer than hidden ones; both limits are strict, against midnight."""
-    return ((flag == "t") & (updated_at > day(as_of, -shown_days))) | (
-        (flag == "f") & (updated_at > day(as_of, -hidden_days))
-    )
+    """Shown rows live longer than hidden ones; both limits are strict, against midnight.
+
+    The longer limit alone is what a scan can use. The flag is looked up, so that it is
+    computed once where it is the outcome of other expressions.
+    """
+    limits = {"t": as_of - timedelta(days=shown_days), "f": as_of - timedelta(days=hidden_days)}
+    return (updated_at > F.lit(min(limits.values()))) & (updated_at > lookup(flag, limits))

@@ -27,12 +27,13 @@ def source_candidates(
     The window runs over one row per source of a station, not over price rows.
     """
     station = Window.partitionBy("station_id")
+    offered = (F.col("count_fuel") > 0) & F.col("source").isNotNull()
     return (
         source_quality(snapshot, as_of, limits, max_error_share)
         .withColumn("station_shown", F.sum("shown").over(station))
         .withColumn("station_fresh", F.sum("fresh").over(station))
-        .withColumn("amount", F.count_if(F.col("count_fuel") > 0).over(station))
-        .where((F.col("station_shown") == 0) & (F.col("station_fresh") > 0) & (F.col("count_fuel") > 0))
+        .withColumn("amount", F.count_if(offered).over(station))
+        .where((F.col("station_shown") == 0) & (F.col("station_fresh") > 0) & offered)
         .select(
             "station_id",
             "source",
@@ -54,19 +55,20 @@ def pick_sources(
     """The best-ranked source of every dark station, from ``source_quality``.
 
     It is picked before its prices are judged: a best source with too many errors leaves the
-    station dark.
+    station dark. Rows without a source count as shown, but cannot be picked.
     """
     rate = source_rank(F.col("source"), ranks, strict_rank)
+    offered = (F.col("count_fuel") > 0) & F.col("source").isNotNull()
     best = F.struct(*best_first(rate, F.col("source")), "count_fuel", "check", "count_err")
     return (
         quality.groupBy("station_id")
         .agg(
             F.sum("shown").alias("shown"),
             F.sum("fresh").alias("fresh"),
-            F.count_if(F.col("count_fuel") > 0).alias("amount"),
-            F.min(F.when(F.col("count_fuel") > 0, best)).alias("best"),
+            F.count_if(offered).alias("amount"),
+            F.min(F.when(offered, best)).alias("best"),
         )
-        .where((F.col("shown") == 0) & (F.col("fresh") > 0))
+        .where((F.col("shown") == 0) & (F.col("fresh") > 0) & F.col("best").isNotNull())
         .select(
             "station_id",
             "best.source",

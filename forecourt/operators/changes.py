@@ -107,36 +107,35 @@ def apply_changes(
     gathered, result = [], table
     for grain in grains:
         keys, name = GRAINS[grain], f"_{grain}_changes"
-        per_key = group_apart(changes.where(grain_filter(grain)), keys, F.collect_set(step).alias(name))
-        result = result.join(per_key, keys, "left")
-        gathered.append(name)
+        steps = F.sort_array(F.collect_set(step)).alias(name)
+        result = result.join(group_apart(changes.where(grain_filter(grain)), keys, steps), keys, "left")
+        gathered.append(F.col(name))
 
     updated_at = F.col("updated_at")
 
-    def concerned(s: Column) -> Column:
+    def run(state: Column, s: Column) -> Column:
         after = s["from_date"].isNull() | (updated_at >= s["from_date"].cast("timestamp"))
         before = s["to_date"].isNull() | (updated_at < s["to_date"].cast("timestamp"))
-        return F.coalesce(after & before, F.lit(False))
-
-    def run(state: Column, s: Column) -> Column:
-        hit = s["only_flag"].isNull() | F.coalesce(s["only_flag"] == state["flag"], F.lit(False))
-        return F.when(hit, F.struct(s["new_flag"].alias("flag"), F.lit(True).alias("hit"))).otherwise(state)
-
-    steps = F.concat(*(F.coalesce(F.filter(name, concerned), F.array()) for name in gathered))
+        allowed = s["only_flag"].isNull() | (s["only_flag"] == state["flag"])
+        hit = F.struct(s["new_flag"].alias("flag"), F.lit(True).alias("hit"))
+        return F.when(after & before & allowed, hit).otherwise(state)
+
+    steps = gathered[0]
+    if len(gathered) > 1:
+        several = sum((name.isNotNull().cast("int") for name in gathered), F.lit(0)) > 1
+        merged = F.sort_array(F.concat(*(F.coalesce(name, F.array()) for name in gathered)))
+        steps = F.when(several, merged).otherwise(F.coalesce(*gathered))
     start = F.struct(F.col("show_in_report").cast("string").alias("flag"), F.lit(False).alias("hit"))
-    # rows without any change, nearly all of them, skip the fold
-    outcome = F.when(
-        F.coalesce(*(F.col(name) for name in gathered)).isNotNull(), F.aggregate(F.array_sort(steps), start, run)
-    )
+    fold = F.aggregate(steps, start, run, lambda state: F.when(state["hit"], state["flag"]))
+    # the flag after the last update that concerns the row; NULL for the many rows without one
+    outcome = F.when(F.coalesce(*gathered).isNotNull(), fold)
+    touched = F.col("_outcome").isNotNull()
+    written = {
+        "show_in_report": F.coalesce("_outcome", "show_in_report"),
+        "updated_by_id": F.when(touched, F.lit(updated_by)).otherwise(F.col("updated_by_id")).cast("bigint"),
+    }
     return result.withColumn("_outcome", outcome).select(
-        *(
-            F.when(F.col("_outcome.hit"), F.col("_outcome.flag")).otherwise(F.col(c)).alias(c)
-            if c == "show_in_report"
-            else F.when(F.col("_outcome.hit"), F.lit(updated_by)).otherwise(F.col(c)).cast("bigint").alias(c)
-            if c == "updated_by_id"
-            else F.col(c)
-            for c in table.columns
-        )
+        *(written[c].alias(c) if c in written else F.col(c) for c in table.columns)
     )
 
 

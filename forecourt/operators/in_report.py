@@ -17,7 +17,7 @@ from forecourt.operators.summary import PRODUCT_KEY, SOURCE_KEY, source_summary
 def only_source(per_source: DataFrame) -> DataFrame:
     """(station, source) of the only source shown, where it also has new hidden prices.
     From ``source_summary``."""
-    is_shown = F.col("shown") > 0
+    is_shown = (F.col("shown") > 0) & F.col("source").isNotNull()
     return (
         per_source.groupBy("station_id")
         .agg(

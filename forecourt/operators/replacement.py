@@ -25,7 +25,8 @@ def pick_replacements(
     """(station, old source, new source): the only source shown is a replaceable one, and a
     reliable one has new hidden prices. From ``source_summary`` or ``source_quality``."""
     replaceable, replacing = tuple(replaceable), tuple(replacing)
-    source, is_shown = F.col("source"), F.col("shown") > 0
+    source = F.col("source")
+    is_shown = (F.col("shown") > 0) & source.isNotNull()
     offered = source.isin(*replacing) & (F.col("fresh") > 0)
     rate = source_rank(source, ranks)
     if strict_rank:

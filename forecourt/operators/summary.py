@@ -115,7 +115,7 @@ def sources_per_station(snapshot: DataFrame) -> DataFrame:
 def single_source_stations(snapshot: DataFrame) -> DataFrame:
     """Stations that show exactly one source, with its row count."""
     per_source = (
-        snapshot.where(F.col("show_in_report") == "t")
+        snapshot.where((F.col("show_in_report") == "t") & F.col("source").isNotNull())
         .groupBy(*SOURCE_KEY)
         .agg(F.count(F.lit(1)).alias("count_fuel_true"))
     )

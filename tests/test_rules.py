@@ -102,6 +102,26 @@ def test_lowest_price_of_a_duplicate_key_counts(spark):
     assert rows(summary.limit_check(snap, AS_OF), "total", "bad") == [(2, 2)]
 
 
+def test_rows_without_a_source(spark):
+    snap = snapshot(
+        spark,
+        [
+            (1, 2, 60.0, None, "f", 0),
+            (2, 2, 60.0, None, "t", 0),
+            (2, 2, 60.0, "api_gpn", "f", 0),
+            (3, 2, 60.0, None, "t", 0),
+            (3, 2, 60.0, "api_gpn", "t", 1),
+            (3, 3, 60.0, "api_gpn", "f", 0),
+            (4, 2, 60.0, None, "f", 0),
+            (4, 2, 60.0, "api_gpn", "f", 0),
+        ],
+    )
+    assert rows(activation.score_new_sources(snap, AS_OF), "station_id", "source", "amount") == [(4, "api_gpn", 1)]
+    assert rows(activation.source_candidates(snap, AS_OF), "station_id", "source", "amount") == [(4, "api_gpn", 1)]
+    assert rows(in_report.in_report_new_products(snap, AS_OF), "station_id", "source") == [(3, "api_gpn")]
+    assert rows(summary.single_source_stations(snap), "station_id", "count_fuel_true") == [(3, 1)]
+
+
 def test_new_windows(spark):
     snap = snapshot(spark, [(1, 2, 60.0, "api_gpn", "f", 0), (2, 2, 60.0, "api_ppr", "f", 0)])
     scored = activation.score_new_sources(snap, AS_OF)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from helpers import plan
 
 import __spark_entry__ as contract
 
@@ -33,6 +34,9 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, duck, name):
     got = contract.queries()[name](spark, SMALL)
+    physical = plan(got)
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
+        assert bad not in physical
     cursor = duck.execute(contract.oracle_sql()[name])
     names = [column[0] for column in cursor.description]
     assert sorted(got.columns) == sorted(names)
