@@ -52,6 +52,7 @@ def clean_price(price: Column) -> Column:
 
 
 def shown_flag(flag: Column) -> Column:
+    """'t' or else 'f', for rows that no recency filter has seen."""
     return F.when(flag == "t", "t").otherwise("f")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt import refdata
-from forecourt.functions.prices import clean_price, recent, shown_flag
+from forecourt.functions.prices import clean_price, recent
 from forecourt.operators.skew import group_apart
 from forecourt.session import materialise
 
@@ -71,13 +71,17 @@ def recency_filter(
 
 
 def as_snapshot(prices: DataFrame, as_of: date) -> DataFrame:
-    """Rule input: recent rows with a clean price, a 't'/'f' flag and the date."""
+    """Rule input: recent rows with a clean price, a 't'/'f' flag and the date.
+
+    The filter leaves no other flag, so the column is passed on as it is and the rules'
+    filters on it reach the scan.
+    """
     return recency_filter(prices, as_of).select(
         "station_id",
         "product_id",
         clean_price(F.col("price")).alias("price"),
         "source",
-        shown_flag(F.col("show_in_report")).alias("show_in_report"),
+        "show_in_report",
         F.to_date("updated_at").alias("date_upd"),
     )
 

@@ -48,6 +48,12 @@ def test_nan_price_becomes_null(spark):
     assert values(spark, "p DOUBLE", data, prices.clean_price(F.col("p"))) == [(None,), (1.5,), (None,)]
 
 
+def test_flag(spark):
+    assert values(spark, "f STRING", [("t",), ("f",), (None,), ("x",)], prices.shown_flag(F.col("f"))) == [
+        ("t",), ("f",), ("f",), ("f",),
+    ]
+
+
 def test_rank_and_group(spark):
     data = [("api_gpn",), ("api_azsgo",), ("nobody",), (None,)]
     assert values(spark, "s STRING", data, prices.source_rank(F.col("s"))) == [(1,), (None,), (None,), (None,)]

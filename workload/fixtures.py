@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecourt.functions.prices import shown_flag
 from forecourt.plans.nearest import StationTables
 from forecourt.plans.visibility import PriceTables
 
@@ -63,7 +64,12 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule input over all stations."""
     return prices(spark, sf_dir).select(
-        "station_id", "product_id", "price", "source", "show_in_report", F.to_date("updated_at").alias("date_upd")
+        "station_id",
+        "product_id",
+        "price",
+        "source",
+        shown_flag(F.col("show_in_report")).alias("show_in_report"),
+        F.to_date("updated_at").alias("date_upd"),
     )
 
 
