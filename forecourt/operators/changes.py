@@ -93,9 +93,10 @@ def apply_changes(
 ) -> DataFrame:
     """The price table as it is after one update per rule, run in ``order``.
 
-    One equi join per grain. The changes of a key are first gathered in one row; they differ
-    by rule only, so there are at most ``len(order)``. No broadcast is forced: Spark picks
-    it when the change-set is small, and splits hot keys of the table otherwise.
+    One equi join per grain, each reading ``changes``; write out one that is costly to
+    compute. The changes of a key are first gathered in one row; a rule has one per key, so
+    there are at most ``len(order)``. No broadcast is forced: Spark picks it when the
+    change-set is small, and splits hot keys of the table otherwise.
     """
     step = F.struct(
         lookup(F.col("rule"), {rule: i for i, rule in enumerate(order)}).alias("position"),

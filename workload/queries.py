@@ -374,7 +374,8 @@ def report_text(spark, sf):
 @query
 def apply_changes(spark, sf):
     """Every rule's changes, computed on the initial table, run in order."""
-    done = changes.apply_changes(fx.prices(spark, sf), all_changes(spark, sf))
+    found = materialise(all_changes(spark, sf), "changes")  # read once per grain
+    done = changes.apply_changes(fx.prices(spark, sf), found)
     return done.select("station_id", "product_id", "source", "show_in_report", "updated_by_id")
 
 
