@@ -7,7 +7,7 @@ from helpers import AS_OF, plan, rows, table
 from pyspark.sql import functions as F
 
 from forecourt import refdata
-from forecourt.operators import activation, expiry, extract, in_report
+from forecourt.operators import activation, competitors, expiry, extract, in_report, knn
 from forecourt.operators.changes import CHANGE_SCHEMA, apply_changes
 
 
@@ -139,3 +139,40 @@ def test_a_hot_source_is_split_in_the_rules(shuffling):
     twins = {p for p in hidden for g in groups if p in g and shown & (g - {p})}
     too_dear = {p for p, (_, hi) in refdata.PRICE_LIMITS.items() if hi < 60.0}
     assert {p for (p,) in rows(new.where("station_id = 7"), "product_id")} == hidden - twins - too_dear
+
+
+def test_a_competitor_of_half_the_stations_is_split(shuffling):
+    spark = shuffling
+    n = F.col("id")
+    names = ("type_1", "brand", "affilation", "number", "status", "region", "address", "gps")
+    directory = spark.range(0, 30_000).select(
+        n.alias("id_parcon"), F.lit("АЗС").alias("type_azs"), F.lit(1).alias("check"), *(F.lit("x").alias(c) for c in names)
+    )
+    pairs = spark.range(0, 30_000, 1, 16).select(
+        n.alias("point1"),
+        F.when(n % 2 == 0, 5).otherwise(n).cast("bigint").alias("point2"),
+        F.lit(1).alias("rank"),
+        F.lit(1.0).alias("dist, km"),
+    )
+    sources = spark.range(0, 30_000).select(n.alias("parcon_id"), F.lit("s").alias("source"), F.lit(1).alias("type_source"))
+    table = competitors.nearest_competitors(
+        competitors.competitor_enrich(pairs, directory), competitors.best_price_class(sources)
+    )
+    assert final_plan(table).count("skew=true") >= 2
+    assert table.where("id_parcon = 5 AND type_source = 1").count() == 15_001
+    assert table.count() == 30_000
+
+
+def test_a_spot_of_half_the_points_is_split(shuffling):
+    spark = shuffling
+    n = F.col("id")
+    points = spark.range(0, 20_000, 1, 16).select(
+        "id",
+        F.when(n % 2 == 0, 50.0).otherwise(40 + n / 1000).alias("lat"),
+        F.when(n % 2 == 0, 30.0).otherwise(20 + (n * 7919 % 20_000) / 1000).alias("lon"),
+    )
+    pairs = knn.knn_pairs(points, 3)
+    assert "skew=true" in final_plan(pairs)
+    assert pairs.count() == 60_000
+    at_spot = pairs.where("point1 % 2 = 0").groupBy("rank", "point2").count().collect()
+    assert sorted(map(tuple, at_spot)) == [(1, 0, 10_000), (2, 2, 10_000), (3, 4, 10_000)]
