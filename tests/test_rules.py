@@ -297,6 +297,7 @@ def test_empty_snapshot(spark):
 
 
 def test_row_order_does_not_matter(spark):
-    data = [(s, p, 40.0 + p, src, f, a) for s in range(6) for p, src, f, a in [(2, "api_gpn", "f", 0), (3, "api_ppr", "f", 0), (4, "api_gpn", "f", s)]]
+    per_station = [(2, "api_gpn", "f", 0), (3, "api_ppr", "f", 0), (4, "api_gpn", "f", None)]
+    data = [(s, p, 40.0 + p, src, f, s if a is None else a) for s in range(6) for p, src, f, a in per_station]
     one, other = snapshot(spark, data), snapshot(spark, data[::-1]).repartition(7)
     assert rows(activation.score_new_sources(one, AS_OF)) == rows(activation.score_new_sources(other, AS_OF))
