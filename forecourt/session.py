@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,10 @@ RUNTIME_SETTINGS = {
 }
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+_RUNS: list[str] = []
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on; sizes stay the cluster's."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -40,22 +46,46 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "forecou
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where none is set."""
+    """The cluster's spark.checkpoint.dir, which the driver and all executors see.
+
+    A temporary folder is used only with a local master and nothing configured; on a cluster
+    without the setting this raises instead of writing to each machine's own disk. The
+    session's checkpoint folder is never changed.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    folder = tempfile.mkdtemp(prefix="forecourt-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if master not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[master] = tempfile.mkdtemp(prefix="forecourt-")
+    return _LOCAL_FOLDERS[master]
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside the block go to one folder, removed at its end.
+
+    Store the result before leaving the block: frames built in it read that folder.
+    """
+    path = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    _RUNS.append(path)
+    try:
+        yield path
+    finally:
+        _RUNS.remove(path)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+    """Write ``df`` to the shared folder and read it back; this runs a job.
 
     Cuts the lineage so that it survives the loss of executors, and gives the planner the
     real size, so that Spark broadcasts it only when it is under the session's threshold.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_RUNS[-1] if _RUNS else shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
