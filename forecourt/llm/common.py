@@ -20,7 +20,16 @@ _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
 _LOWER += 1
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_POWERS: dict[str, np.ndarray] = {}
+
+
+class _Cache(dict):
+    """Is empty again wherever it is sent."""
+
+    def __reduce__(self):
+        return dict, ()
+
+
+_POWERS: dict[str, np.ndarray] = _Cache()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -67,12 +76,15 @@ def pieces(bounds: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int, i
         first = last
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word, A-Z lowered, and each row's bounds in the list of words."""
+def word_hashes(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, A-Z lowered, and each row's bounds in the list of words.
+
+    ``between`` tells of every byte whether it separates words.
+    """
     rows = len(bounds) - 1
     if not len(data):
         return np.empty(0, np.uint64), np.zeros(rows + 1, np.int64)
-    gap = _IS_SPACE[data]
+    gap = between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True
     solid = ~gap

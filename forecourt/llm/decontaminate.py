@@ -80,6 +80,13 @@ class ItemIndex:
         self.seen = np.zeros(1 << _TABLE_BITS, bool)
         self.seen[self.keys & np.uint64((1 << _TABLE_BITS) - 1)] = True
 
+    @classmethod
+    def received(cls, state: dict) -> ItemIndex:
+        """The index from what was broadcast of it."""
+        index = cls.__new__(cls)
+        index.__dict__.update(state)
+        return index
+
     @staticmethod
     def key(level: int, function: int, low: int) -> int:
         return level << 48 | function << 32 | low
@@ -146,7 +153,7 @@ def _indexes(docs: DataFrame, items: DataFrame, k: int, hashes: int) -> Iterator
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
         index = ItemIndex([r["item_id"] for r in rows], [r["text"] for r in rows], k, hashes)
         if index.ids:
-            yield spark.sparkContext.broadcast(index)
+            yield spark.sparkContext.broadcast(vars(index))
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, k: int = K, least: float = CONTAINMENT, hashes: int = HASHES) -> DataFrame:
@@ -154,9 +161,10 @@ def leaked_items(docs: DataFrame, items: DataFrame, k: int = K, least: float = C
 
     def search(index):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = ItemIndex.received(index.value)
             for batch in batches:
                 ids = batch.column("doc_id").to_pylist()
-                out = [(ids[row], i, s, n, s / n) for row, hit in _scan(batch, index.value, least) for i, (s, n) in hit.items()]
+                out = [(ids[row], i, s, n, s / n) for row, hit in _scan(batch, own, least) for i, (s, n) in hit.items()]
                 if out:
                     yield common.batch_of(dict(zip(_PAIRS.names, zip(*out, strict=True), strict=True)), _PAIRS)
 
@@ -176,9 +184,10 @@ def without_leaks(docs: DataFrame, items: DataFrame, k: int = K, least: float =
     for index in _indexes(docs, items, k, hashes):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            own = ItemIndex.received(index.value)
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for row, hit in _scan(batch, index.value, least):
+                for row, hit in _scan(batch, own, least):
                     keep[row] = not hit
                 yield batch.filter(pa.array(keep))
 

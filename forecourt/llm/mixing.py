@@ -9,8 +9,9 @@ plus a fraction f that each is included once more with. Which ones is decided by
 cube method: the fractional probabilities of three documents at a time move along the null
 space of the balancing constraints (number of documents, number of words) until one becomes 0 or 1.
 The flight runs in cells of a source, in parallel and in constant memory; each cell leaves at
-most two fractional documents, which meet again in fewer cells, until a source has one. There
-the last two land: the word constraint is dropped, then the document constraint.
+most two fractional documents, which meet again in fewer cells, until a source has one. There the
+flight ends with a landing of these two and ``WAITING`` more that were kept back: of all their subsets the one
+nearest to both constraints is taken.
 
 The random numbers of a cell depend on its source and number only and documents are taken in
 order of their ids, so reruns agree. Rows with equal doc_id, source and text are one unit
@@ -40,8 +41,8 @@ MOST = 2
 WORD = r"[^\x20\x09-\x0D]+"
 CELL_ROWS = 4096
 _NEAR = 1e-9
-#: Large documents fly first, so that the few left for the landing are small ones.
-_ORDER = "source, cell, size * rows DESC, doc_id, row_key"
+#: Documents of a source that wait for the landing, where all their subsets are weighed.
+WAITING = 14
 
 _UNIT = T.StructType(
     [
@@ -96,14 +97,19 @@ def targets(units: DataFrame) -> DataFrame:
 class Flight:
     """The flight phase over a run of (key, size, chance); three documents are in the air."""
 
-    def __init__(self, seed: bytes):
+    def __init__(self, seed: bytes, waiting: int = 0):
         self.rng = np.random.Generator(np.random.PCG64(crc32(seed)))
         self.air: list[list] = []
+        self.held: list[list] = []
+        self.waiting = waiting
 
     def add(self, row: tuple, size: int, chance: float) -> Iterator[tuple[tuple, float]]:
         if chance <= _NEAR or chance >= 1 - _NEAR:
             yield row, float(round(chance))
             return
+        if len(self.held) < self.waiting:
+            self.held.append([row, float(size), chance])
+            return
         self.air.append([row, float(size), chance])
         if len(self.air) == 3:
             a, b, c = (x[1] for x in self.air)
@@ -128,11 +134,13 @@ class Flight:
         self.air = []
 
     def land(self) -> Iterator[tuple[tuple, float]]:
-        while len(self.air) > 1:
-            yield from self._move((1.0, -1.0))
-        for x in self.air:
-            yield x[0], float(self.rng.random() < x[2])
-        self.air = []
+        left = self.held + self.air
+        words, chances = np.array([x[1] for x in left]), np.array([x[2] for x in left])
+        subsets = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+        miss = np.abs((subsets - chances) @ words) + np.abs((subsets - chances).sum(axis=1))
+        best = subsets[int(miss.argmin())] if left else ()
+        yield from ((x[0], float(taken)) for x, taken in zip(left, best, strict=True))
+        self.air, self.held = [], []
 
 
 def _fly(last: bool):
@@ -146,7 +154,7 @@ def _fly(last: bool):
                 if key != now or flight is None:
                     if flight:
                         out += flight.land() if last else flight.rest()
-                    now, flight = key, Flight(f"{row[7]}/{row[6]}/{row[1]}".encode())
+                    now, flight = key, Flight(f"{row[7]}/{row[6]}/{row[1]}".encode(), WAITING if last else 0)
                 out += flight.add(row, row[3] * row[4], row[5])
             if out:
                 yield _rows(out, batch.schema)
@@ -177,7 +185,7 @@ def mix(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     while True:
         most = rest.agg(F.max("cells")).first()[0]
         last = most is None or most <= 1
-        flown = rest.select(*_UNIT.names).repartition("source", "cell").sortWithinPartitions(*[F.expr(x.removesuffix(" DESC")).desc() if x.endswith(" DESC") else F.expr(x) for x in _ORDER.split(", ")])
+        flown = rest.select(*_UNIT.names).repartition("source", "cell").sortWithinPartitions("source", "cell", "doc_id", "row_key", "size")
         flown = materialise(flown.mapInArrow(_fly(last), _UNIT), "flight")
         settled = flown.where("chance in (0.0, 1.0)")
         done = settled if done is None else done.union(settled)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import chat, decontaminate, mixing, secrets
+from forecourt.llm import chat, decontaminate, minhash, mixing, secrets
 from forecourt.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,8 @@ def op7_decontamination(spark, sf_dir):
 @query
 def op8_secrets(spark, sf_dir):
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
