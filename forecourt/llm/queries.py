@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import chat, decontaminate, minhash, mixing, secrets
+from forecourt.llm import chat, decontaminate, language, minhash, mixing, secrets
 from forecourt.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,9 @@ def op8_secrets(spark, sf_dir):
 @query
 def op5_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+@query
+def op10_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(language.trainable(docs)))
