@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import chat, decontaminate, language, minhash, mixing, secrets
+from forecourt.llm import chat, decontaminate, language, minhash, mixing, secrets, toxicity
 from forecourt.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,9 @@ def op5_minhash(spark, sf_dir):
 def op10_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.learn(language.trainable(docs)))
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, *toxicity.learn(docs, table(spark, sf_dir, "labels")))
