@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import chat, decontaminate, language, minhash, mixing, secrets, toxicity
+from forecourt.llm import chat, decontaminate, language, minhash, mixing, secrets, sphere, toxicity
 from forecourt.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op10_language(spark, sf_dir):
 def op1_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, *toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op2_sphere(spark, sf_dir):
+    return sphere.near_vectors(table(spark, sf_dir, "embeddings"))
