@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import chat, decontaminate, language, minhash, mixing, secrets, sphere, toxicity
+from forecourt.llm import chat, decontaminate, language, minhash, mixing, secrets, sphere, suffixes, toxicity
 from forecourt.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op1_toxicity(spark, sf_dir):
 @query
 def op2_sphere(spark, sf_dir):
     return sphere.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_suffixes(spark, sf_dir):
+    return suffixes.without_repeats(table(spark, sf_dir, "documents"))

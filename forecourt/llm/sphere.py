@@ -170,7 +170,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, cap: float = CAP, c
     usable = F.isnotnull("vec_id") & F.isnotnull("label") & sound & F.exists("embedding", lambda v: v != 0)
     nodes = materialise(
         rows.where(usable).groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-        .withColumn("code", F.xxhash64("embedding")), "nodes"
+        .withColumn("code", F.xxhash64("label", "embedding")), "nodes"
     )
     member = nodes.select("label", "embedding", "node", "code").mapInArrow(
         _memberships(cap, codes, turns), "label bigint, length int, filter bigint, node bigint, code bigint"
