@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import chat, decontaminate, language, minhash, mixing, secrets, sphere, suffixes, toxicity
+from forecourt.llm import chat, decontaminate, language, minhash, mixing, pii, secrets, sphere, suffixes, toxicity
 from forecourt.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op2_sphere(spark, sf_dir):
 @query
 def op6_suffixes(spark, sf_dir):
     return suffixes.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_pii(spark, sf_dir):
+    return pii.find_personal(table(spark, sf_dir, "documents"))
