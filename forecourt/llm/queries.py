@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from forecourt.llm import chat, decontaminate, language, minhash, mixing, pii, secrets, sphere, suffixes, toxicity
 from forecourt.llm.common import table
 
@@ -74,3 +75,8 @@ def op6_suffixes(spark, sf_dir):
 @query
 def op9_pii(spark, sf_dir):
     return pii.find_personal(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
