@@ -191,11 +191,14 @@ def documents_probabilities(net: Network, column: pa.Array) -> np.ndarray:
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     """The network from docs (text, lang); None where there is nothing to learn from."""
     known = docs.where("isnotnull(lang) and length(text) > 0").select("lang", "text", F.xxhash64("text").alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    picked = known.select("lang", "h", "text").withColumn("n", rank).where(F.col("n") <= per_language)
     starts = [F.lit(1) + F.pmod(F.xxhash64(F.lit(i), "h"), F.greatest(F.lit(1), F.length("text") - WINDOW)).cast("int") for i in range(WINDOWS)]
-    cut = F.explode(F.array(*[F.substring("text", s, F.lit(WINDOW)) for s in starts])).alias("window")
-    rows = picked.select("lang", "h", cut).orderBy("lang", "h", "window").collect()
+    cut = F.array(*[F.substring("text", s, F.lit(WINDOW)) for s in starts]).alias("windows")
+    # about twice as many documents as wanted of each language, by hash; then the first of these
+    size = docs.where("isnotnull(lang)").groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    some = known.join(size, "lang").where(F.pmod("h", F.lit(1_000_003)) / 1_000_003 <= 20.0 / F.col("size") + 2.0 * per_language / F.col("size"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "windows"))
+    picked = some.select("lang", "h", cut).withColumn("n", rank).where(F.col("n") <= per_language)
+    rows = picked.select("lang", "h", F.explode("windows").alias("window")).orderBy("lang", "h", "window").collect()
     if not rows:
         return None
     languages = sorted({r["lang"] for r in rows})
