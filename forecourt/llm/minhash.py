@@ -230,10 +230,10 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     further = _further_links(members.where("n > 2").select("h", "id"), components(links), sets, percent)
     comps = components(links.union(materialise(further, "further_links")))
     classes = nodes.join(comps.withColumnRenamed("node", "id"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
+    component = F.when(F.isnotnull("doc_id"), F.coalesce("component", "doc_id"))
     return signed.drop("signature").join(classes, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"),
-    )
+        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
+    )
 
 
 def one_of_each(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
