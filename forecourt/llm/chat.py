@@ -137,7 +137,8 @@ def format_chats(events: DataFrame) -> DataFrame:
 def events_of(messages: DataFrame, piece: int = PIECE) -> DataFrame:
     """Whole messages (conv_id, turn, role, text) as the log that would have streamed them.
 
-    Rows of one conversation and turn stay separate messages, ordered by role, then text.
+    Rows of one conversation and turn stay separate messages, ordered by role, then by the
+    digest of the text.
     """
     text: Column = F.coalesce("text", F.lit(""))
     role: Column = F.coalesce("role", F.lit(""))

@@ -16,7 +16,8 @@ double precision. At a cosine of 0.93 a pair meets in some filter with a chance
 Vectors that are null, empty, zero, or hold nulls or non-finite numbers, and vectors without a label or id,
 link with nothing. Vectors of different lengths never link. Rows of one vec_id count as separate vectors but share their component.
 Other columns are ignored; the empty table gives an empty result. A larger table per label wants a
-higher ``CAP`` with more ``CODES``, so that unrelated vectors rarely meet; both are parameters.
+higher ``CAP`` with more ``CODES``, so that unrelated vectors rarely meet, and vectors of a few coordinates want fewer
+``CODES``; the defaults suit 64 coordinates.
 """
 
 from __future__ import annotations
