@@ -145,9 +145,10 @@ def events_of(messages: DataFrame, piece: int = PIECE) -> DataFrame:
     pieces = F.greatest(F.lit(1), F.ceil(F.length(text) / piece)).cast("int")
     return messages.select(
         "conv_id", "turn", role.alias("role"), text.alias("whole"),
+        # one id per message, so before its pieces are made
         F.concat_ws("|", role, F.sha2(text, 256), F.monotonically_increasing_id().cast("string")).alias("msg"),
-        F.posexplode(F.sequence(F.lit(0), pieces - 1)).alias("seq", "part"),
-    ).select(
+        F.sequence(F.lit(0), pieces - 1).alias("pieces"),
+    ).select("*", F.posexplode("pieces").alias("seq", "part")).select(
         "conv_id", "turn", "msg", "seq", F.when(F.col("seq") == 0, "open").otherwise("delta").alias("kind"), "role",
         F.substring("whole", F.col("part") * piece + 1, F.lit(piece)).alias("text"),
     )
