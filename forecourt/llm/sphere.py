@@ -1,12 +1,16 @@
 """Embedding near-dedup with spherical-cap filters.
 
-A filter is a direction; a vector belongs to all filters whose direction it meets at a cosine of ``CAP``
-or more. The directions are structured: in each of ``TURNS`` random rotations of the space, a random product code
-joins one of ``CODES`` unit vectors of the first half of the coordinates with one of ``CODES`` of the second, which
-makes CODES ** 2 directions. A vector's exceeding directions are list-decoded from its 2 * CODES
+A filter is a direction; a vector belongs to all filters whose direction it meets at a cosine of ``cap``
+or more. The directions are structured: in each of ``turns`` random rotations of the space, a random product code
+joins one of ``codes`` unit vectors of the first half of the coordinates with one of ``codes`` of the second, which
+makes codes ** 2 directions. A vector's exceeding directions are list-decoded from its 2 * codes
 inner products. Vectors are joined on (label, filter) and each pair that meets is verified by its cosine in
-double precision. At a cosine of 0.93 a pair meets in some filter with a chance of over 99.5 %.
+double precision.
 
+* ``shape_of`` sets cap and codes from the length of the vectors and the number of different ones in the largest label:
+  the cap at which decoding, belonging to filters and meeting unrelated vectors in them cost least together, and so many codes that
+  a pair at the wanted cosine shares ``SHARED`` filters on average. So a larger table gets narrower and more filters, with the same
+  chance to meet; the number of filters a vector belongs to grows slowly.
 * Equal vectors of a label are one node with a number of copies, folded before any shuffle of filters.
 * A filter with many members is split into blocks of about ``BLOCK``, and every two blocks meet in a
   task of their own as one matrix product, so no task holds a whole filter.
@@ -15,9 +19,7 @@ double precision. At a cosine of 0.93 a pair meets in some filter with a chance
 
 Vectors that are null, empty, zero, or hold nulls or non-finite numbers, and vectors without a label or id,
 link with nothing. Vectors of different lengths never link. Rows of one vec_id count as separate vectors but share their component.
-Other columns are ignored; the empty table gives an empty result. A larger table per label wants a
-higher ``CAP`` with more ``CODES``, so that unrelated vectors rarely meet, and vectors of a few coordinates want fewer
-``CODES``; the defaults suit 64 coordinates.
+Other columns are ignored; the empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,13 +37,46 @@ from forecourt.llm.components import components
 from forecourt.session import materialise
 
 COSINE = 0.93
-CAP = 0.42
-CODES = 128
-TURNS = 10
+#: Filters that a pair at the wanted cosine shares on average.
+SHARED = 20
+TURNS = 20
+#: Shapes are worked out from this length on; shorter vectors need few directions, whatever their number.
+LEAST_LENGTH = 8
+FEW_CAP, FEW_CODES = 0.42, 8
+#: Cost of a member met in a filter, and of a code word of a rotation, against that of belonging to a filter.
+MEET_COST, CODE_COST = 4, 0.007
 BLOCK = 256
 _CACHE: dict = common._Cache()
 
 
+def shape_of(length: int, vectors: int, cosine: float, turns: int) -> tuple[float, int]:
+    """Cap and codes for ``vectors`` of one label, by the areas of spherical caps and of their overlaps."""
+    key = ("shape", length, vectors, cosine, turns)
+    if key in _CACHE:
+        return _CACHE[key]
+    if length < LEAST_LENGTH:
+        return FEW_CAP, FEW_CODES
+    at = np.linspace(-1, 1, 20001)
+    # first coordinate of a random direction, and of its part square to the first coordinate
+    first, second = (np.maximum(1 - at**2, 0) ** ((length - k) / 2) for k in (3, 4))
+    first, beyond = first / first.sum(), np.cumsum(second[::-1])[::-1] / second.sum()
+    best = None
+    for cap in np.arange(0.02, np.sqrt((1 + cosine) / 2) - 0.1, 0.01):
+        inside = at >= cap
+        t, weight = at[inside], first[inside]
+        need = (cap - cosine * t) / np.maximum(np.sqrt((1 - cosine**2) * (1 - t**2)), 1e-12)
+        alone, both = weight.sum(), (weight * np.interp(need, at, beyond, left=1, right=0)).sum()
+        if both <= 0:
+            break
+        filters = SHARED / both
+        codes = max(2, int(np.ceil(np.sqrt(filters / turns))))
+        cost = filters * alone * (1 + MEET_COST * vectors * alone) + CODE_COST * turns * codes
+        if best is None or cost < best[0]:
+            best = cost, round(float(cap), 2), codes
+    _CACHE[key] = best[1:]
+    return best[1:]
+
+
 class Filters:
     """The directions for vectors of one length."""
 
@@ -79,93 +115,121 @@ def filters_of(length: int, cap: float, codes: int, turns: int) -> Filters:
     return _CACHE[key]
 
 
-def units(column: pa.Array) -> list[np.ndarray]:
-    """Each vector as a double of length one."""
-    out = []
-    for vector in column:
-        v = np.array(vector.as_py(), np.float64)
-        v /= np.abs(v).max()
-        out.append(v / np.linalg.norm(v))
-    return out
+def units(column: pa.Array) -> np.ndarray | list[np.ndarray]:
+    """Each vector as a double of length one: rows of one array where all are equally long, else a list."""
+    bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))))
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+
+    def scaled(v: np.ndarray) -> np.ndarray:
+        v = v / np.abs(v).max(axis=-1, keepdims=True)
+        return v / np.linalg.norm(v, axis=-1, keepdims=True)
 
+    if len(column) and (np.diff(bounds) == bounds[1]).all():
+        return scaled(flat.reshape(len(column), -1))
+    return [scaled(flat[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
-def _memberships(cap: float, codes: int, turns: int):
-    schema = pa.schema([("label", pa.int64()), ("length", pa.int32()), ("filter", pa.int64()), ("node", pa.int64()), ("code", pa.int64())])
+
+def _decode(cosine: float, vectors: int, cap: float | None, codes: int | None, turns: int):
+    """Adds to each node the filters it belongs to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                vectors = units(batch.column("embedding"))
-                lengths = np.array([len(v) for v in vectors])
-                label, node, code = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("label", "node", "code"))
-                for length in np.unique(lengths):
-                    own = np.flatnonzero(lengths == length)
-                    rows, found = filters_of(int(length), cap, codes, turns).decode(np.array([vectors[i] for i in own]))
-                    rows = own[rows]
-                    columns = (label[rows], np.full(len(rows), length, np.int32), found, node[rows], code[rows])
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        for batch in batches:
+            rows = units(batch.column("embedding"))
+            lengths = np.array([len(v) for v in rows])
+            found: list = [None] * len(rows)
+            for length in np.unique(lengths).tolist():
+                shape = shape_of(length, vectors, cosine, turns)
+                filters = filters_of(length, cap or shape[0], codes or shape[1], turns)
+                own = np.flatnonzero(lengths == length)
+                # so many at a time that the inner products stay small
+                some = max(16, (1 << 20) // (codes or shape[1]))
+                for first in range(0, len(own), some):
+                    part = own[first : first + some]
+                    row, names = filters.decode(np.array([rows[i] for i in part]))
+                    for i, mine in zip(part, np.split(names, np.searchsorted(row, np.arange(1, len(part)))), strict=True):
+                        found[i] = mine
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))], names=[*batch.schema.names, "filters"])
 
     return run
 
 
-def _meet(cosine: float, cap: float, codes: int, turns: int):
+def _pair(cosine: float, filter: int, node, code, copies, side, unit, filters) -> list[tuple[int, int, int, int]]:
     """Links inside one pair of blocks of a filter: per linked node its links and an edge."""
-    schema = pa.schema([("node", pa.int64()), ("code", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
-
-    def pair(key: tuple, rows: list[tuple]) -> list[tuple[int, int, int, int]]:
-        node, code, copies, side = (np.array([r[i] for r in rows]) for i in range(4))
-        unit = np.array([r[4] for r in rows])
-        near = unit @ unit.T >= cosine
-        if (~side).any():
-            near &= side[:, None] != side[None, :]
-        np.fill_diagonal(near, False)
-        some = np.flatnonzero(near.any(axis=1))
-        if not len(some):
+    near = unit @ unit.T >= cosine
+    if not side.all():
+        near &= side[:, None] != side[None, :]
+    np.fill_diagonal(near, False)
+    some = np.flatnonzero(near.any(axis=1))
+    if not len(some):
+        return []
+    near, node, code, copies = near[np.ix_(some, some)], node[some], code[some], copies[some]
+    # a pair that shares a smaller filter counts there
+    found = [filters[i] for i in some]
+    at, found = np.repeat(np.arange(len(some)), [len(f) for f in found]), np.concatenate(found)
+    lower = found < filter
+    names, place = np.unique(found[lower], return_inverse=True)
+    has = np.zeros((len(some), len(names)), np.float32)
+    has[at[lower], place] = 1
+    links = (near & ~(has @ has.T > 0)) @ copies
+    order = np.argsort(node, kind="stable")
+    rank = np.empty(len(some), np.int64)
+    rank[order] = np.arange(len(some))
+    least = rank.copy()
+    while True:
+        now = np.minimum(least, np.where(near, least[None, :], len(some)).min(axis=1))
+        if (now == least).all():
+            break
+        least = now
+    return list(zip(node.tolist(), code.tolist(), links.tolist(), node[order][least].tolist(), strict=True))
+
+
+def _meet(cosine: float):
+    """Compares the members of each pair of blocks; rows come sorted by pair of blocks."""
+    schema = pa.schema([(name, pa.int64()) for name in ("node", "code", "links", "other")])
+    keys, values = ("label", "length", "filter", "x", "y"), ("node", "code", "copies", "side")
+
+    def joined(parts: list[tuple]) -> list[tuple[int, int, int, int]]:
+        key = parts[0][0]
+        if sum(len(p[1]) for p in parts) < 2:
             return []
-        near, node, code, copies = near[np.ix_(some, some)], node[some], code[some], copies[some]
-        # a pair that shares a smaller filter counts there
-        at, found = filters_of(key[1], cap, codes, turns).decode(unit[some])
-        lower = found < key[2]
-        names, place = np.unique(found[lower], return_inverse=True)
-        has = np.zeros((len(some), len(names)), np.float32)
-        has[at[lower], place] = 1
-        links = (near & ~(has @ has.T > 0)) @ copies
-        order = np.argsort(node, kind="stable")
-        rank = np.empty(len(some), np.int64)
-        rank[order] = np.arange(len(some))
-        least = rank.copy()
-        while True:
-            now = np.minimum(least, np.where(near, least[None, :], len(some)).min(axis=1))
-            if (now == least).all():
-                break
-            least = now
-        return list(zip(node.tolist(), code.tolist(), links.tolist(), node[order][least].tolist(), strict=True))
+        columns = [np.concatenate([p[i] for p in parts]) for i in range(1, 6)]
+        return _pair(cosine, key[2], *columns, [f for p in parts for f in p[6]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows, out = None, [], []
-        names = ("label", "length", "filter", "x", "y", "node", "code", "copies", "side")
+        open_parts: list[tuple] = []
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            out = []
+            key = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in keys])
+            node, code, copies, side = (batch.column(c).to_numpy(zero_copy_only=False) for c in values)
             vectors = units(batch.column("embedding"))
-            for *key, node, code, copies, side, vector in zip(*(batch.column(c).to_pylist() for c in names), vectors, strict=True):
-                if key != now:
-                    if len(rows) > 1:
-                        out += pair(now, rows)
-                    now, rows = key, []
-                rows.append((node, code, copies, side, vector))
+            names = batch.column("filters")
+            flat, ends = names.flatten().to_numpy(), np.cumsum(pc.list_value_length(names).to_numpy())
+            filters = np.split(flat, ends[:-1])
+            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                now = tuple(key[:, a].tolist())
+                if open_parts and open_parts[0][0] != now:
+                    out += joined(open_parts)
+                    open_parts = []
+                open_parts.append((now, node[a:b], code[a:b], copies[a:b], side[a:b], np.asarray(vectors[a:b]), filters[a:b]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
-                out = []
-        if len(rows) > 1:
-            out += pair(now, rows)
+        out = joined(open_parts) if open_parts else []
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
 
     return run
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, cap: float = CAP, codes: int = CODES, turns: int = TURNS) -> DataFrame:
-    """Per row: vec_id, n_links, component_id, kept (vec_id = component_id)."""
+def near_vectors(
+    vectors: DataFrame, cosine: float = COSINE, cap: float | None = None, codes: int | None = None, turns: int = TURNS
+) -> DataFrame:
+    """Per row: vec_id, n_links, component_id, kept (vec_id = component_id).
+
+    ``cap`` and ``codes`` come from ``shape_of`` where not given.
+    """
     rows = vectors.select(F.col("vec_id").cast("bigint"), F.col("label").cast("bigint"), "embedding")
     sound = F.forall("embedding", lambda v: F.isnotnull(v) & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     usable = F.isnotnull("vec_id") & F.isnotnull("label") & sound & F.exists("embedding", lambda v: v != 0)
@@ -173,10 +237,12 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, cap: float = CAP, c
         rows.where(usable).groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
         .withColumn("code", F.xxhash64("label", "embedding")), "nodes"
     )
-    member = nodes.select("label", "embedding", "node", "code").mapInArrow(
-        _memberships(cap, codes, turns), "label bigint, length int, filter bigint, node bigint, code bigint"
-    )
-    member = materialise(member, "filters")
+    most = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    # rounded up to a power of two, so that nearly equal tables have the same filters
+    most = 1 << max(0, most - 1).bit_length()
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema)
+    nodes = materialise(nodes.mapInArrow(_decode(cosine, most, cap, codes, turns), f"{kinds}, filters array<bigint>"), "filters")
+    member = nodes.select("label", F.size("embedding").alias("length"), F.explode("filters").alias("filter"), "node", "code")
     key = ["label", "length", "filter"]
     sizes = member.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     placed = member.join(sizes, key).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
@@ -188,10 +254,10 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, cap: float = CAP, c
         )
     ).alias("m")
     work = placed.select(*key, "node", "code", meeting).select(*key, "m.x", "m.y", "m.side", "node", "code")
-    content = nodes.select("label", "node", "code", "copies", "embedding")
-    work = work.join(content, ["label", "node", "code"]).select(*key, "x", "y", "side", "node", "code", "copies", "embedding")
+    content = nodes.select("label", "node", "code", "copies", "embedding", "filters")
+    work = work.join(content, ["label", "node", "code"]).select(*key, "x", "y", "side", "node", "code", "copies", "embedding", "filters")
     blocks = [*key, "x", "y"]
-    met = work.repartition(*blocks).sortWithinPartitions(*blocks).mapInArrow(_meet(cosine, cap, codes, turns), "node bigint, code bigint, links bigint, other bigint")
+    met = work.repartition(*blocks).sortWithinPartitions(*blocks).mapInArrow(_meet(cosine), "node bigint, code bigint, links bigint, other bigint")
     met = materialise(met, "met")
     comps = components(met.select(F.col("node").alias("a"), F.col("other").alias("b")))
     links = met.groupBy("node", "code").agg(F.sum("links").alias("links"))
