@@ -153,10 +153,10 @@ def _decode(cosine: float, vectors: int, cap: float | None, codes: int | None, t
     return run
 
 
-def _pair(cosine: float, filter: int, node, code, copies, side, unit, filters) -> list[tuple[int, int, int, int]]:
-    """Links inside one pair of blocks of a filter: per linked node its links and an edge."""
+def _pair(cosine: float, filter: int, apart: bool, node, code, copies, side, unit, filters) -> list[tuple[int, int, int, int]]:
+    """Links inside one block of a filter, or between two (``apart``): per linked node its links and an edge."""
     near = unit @ unit.T >= cosine
-    if not side.all():
+    if apart:
         near &= side[:, None] != side[None, :]
     np.fill_diagonal(near, False)
     some = np.flatnonzero(near.any(axis=1))
@@ -193,7 +193,7 @@ def _meet(cosine: float):
         if sum(len(p[1]) for p in parts) < 2:
             return []
         columns = [np.concatenate([p[i] for p in parts]) for i in range(1, 6)]
-        return _pair(cosine, key[2], *columns, [f for p in parts for f in p[6]])
+        return _pair(cosine, key[2], key[3] != key[4], *columns, [f for p in parts for f in p[6]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_parts: list[tuple] = []
