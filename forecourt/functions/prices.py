@@ -27,6 +27,12 @@ def source_rank(source: Column, ranks: Mapping[str, int] = refdata.SOURCE_RANK,
     return rank
 
 
+def picked_rank(rank: Column, unranked: Column, strict: bool) -> Column:
+    """Rank of what was picked; an error when ``strict`` and one of those offered has no rank."""
+    problem = F.concat(F.lit("price source without a rank: "), unranked)
+    return F.when(unranked.isNotNull(), F.raise_error(problem).cast("int")).otherwise(rank) if strict else rank
+
+
 def best_first(rank: Column, source: Column) -> list[Column]:
     """Sort key for picking one source: lowest rank, unranked last, then by name."""
     return [rank.isNull().alias("unranked"), rank.alias("rate"), source.alias("source")]

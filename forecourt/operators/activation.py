@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt import refdata
-from forecourt.functions.prices import best_first, day, passes_closed, source_rank, with_limits
+from forecourt.functions.prices import best_first, day, passes_closed, picked_rank, source_rank, with_limits
 from forecourt.operators.changes import change
 from forecourt.operators.summary import SOURCE_KEY, product_summary, source_quality
 
@@ -55,9 +55,10 @@ def pick_sources(
     """The best-ranked source of every dark station, from ``source_quality``.
 
     It is picked before its prices are judged: a best source with too many errors leaves the
-    station dark. Rows without a source count as shown, but cannot be picked.
+    station dark. Rows without a source count as shown, but cannot be picked. ``strict_rank``
+    fails on a dark station that is offered a source without a rank.
     """
-    rate = source_rank(F.col("source"), ranks, strict_rank)
+    rate = source_rank(F.col("source"), ranks)
     offered = (F.col("count_fuel") > 0) & F.col("source").isNotNull()
     best = F.struct(*best_first(rate, F.col("source")), "count_fuel", "check", "count_err")
     return (
@@ -67,6 +68,7 @@ def pick_sources(
             F.sum("fresh").alias("fresh"),
             F.count_if(offered).alias("amount"),
             F.min(F.when(offered, best)).alias("best"),
+            F.min(F.when(offered & rate.isNull(), F.col("source"))).alias("unranked"),
         )
         .where((F.col("shown") == 0) & (F.col("fresh") > 0) & F.col("best").isNotNull())
         .select(
@@ -77,7 +79,7 @@ def pick_sources(
             "best.check",
             "best.count_err",
             "amount",
-            "best.rate",
+            picked_rank(F.col("best.rate"), F.col("unranked"), strict_rank).alias("rate"),
         )
     )
 
@@ -97,7 +99,7 @@ def score_new_sources(
 def on_new(scored: DataFrame, as_of: date, rule: str, sources: Iterable[str], days: int) -> DataFrame:
     """Show a source without errors: its rows of the last ``days`` and of the day itself."""
     keys = scored.where((F.col("check") == "OK") & F.col("count_err").isNull() & F.col("source").isin(*sources))
-    return change(keys.select(*SOURCE_KEY), rule, "t", day(as_of, -days), day(as_of, 1))
+    return change(keys.select(*SOURCE_KEY), rule, "t", day(as_of, -days), day(as_of, 1), grain="source")
 
 
 def on_new_trusted(
@@ -145,7 +147,7 @@ def show_within_limits(
     keys = with_limits(joined.where(~F.col("hidden_only") | (F.col("hidden_today") > 0)), limits).where(
         passes_closed(F.col("price"), F.col("lo"), F.col("hi"))
     )
-    return change(keys, F.col("rule"), "t", F.col("from_date"), day(as_of, 1))
+    return change(keys, F.col("rule"), "t", F.col("from_date"), day(as_of, 1), grain="source_product")
 
 
 def on_partial_trusted(
@@ -155,11 +157,15 @@ def on_partial_trusted(
     sources: Iterable[str] = refdata.TRUSTED_SOURCES,
     days: int = 0,
     limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
+    products: DataFrame | None = None,
 ) -> DataFrame:
-    """Show the products within limits of a trusted source with a few errors."""
+    """Show the products within limits of a trusted source with a few errors.
+
+    A ready ``product_summary`` of the snapshot saves reading it once more.
+    """
     sources = tuple(sources)
     chosen = partial_keys(scored, as_of, "on_partial_trusted", sources, days)
-    products = product_summary(snapshot.where(F.col("source").isin(*sources)), as_of)
+    products = products or product_summary(snapshot.where(F.col("source").isin(*sources)), as_of)
     return show_within_limits(chosen, products, as_of, limits)
 
 
@@ -170,9 +176,13 @@ def on_partial_untrusted(
     sources: Iterable[str] = refdata.UNTRUSTED_SOURCES,
     days: int = refdata.UNTRUSTED_WINDOW_DAYS,
     limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
+    products: DataFrame | None = None,
 ) -> DataFrame:
-    """Show the products within limits of an untrusted source with a few errors."""
+    """Show the products within limits of an untrusted source with a few errors.
+
+    A ready ``product_summary`` of the snapshot saves reading it once more.
+    """
     sources = tuple(sources)
     chosen = partial_keys(scored, as_of, "on_partial_untrusted", sources, days)
-    products = product_summary(snapshot.where(F.col("source").isin(*sources)), as_of)
+    products = products or product_summary(snapshot.where(F.col("source").isin(*sources)), as_of)
     return show_within_limits(chosen, products, as_of, limits)

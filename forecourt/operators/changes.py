@@ -48,6 +48,7 @@ GRAINS = {
     "source": ["station_id", "source"],
     "source_product": ["station_id", "source", "product_id"],
     "product": ["station_id", "product_id"],
+    "station": ["station_id"],
 }
 
 
@@ -58,19 +59,24 @@ def change(
     from_date: date | Column | None = None,
     to_date: date | Column | None = None,
     only_flag: str | None = None,
+    grain: str | None = None,
 ) -> DataFrame:
-    """Change-set from keys: station_id with source, product_id or both.
+    """Change-set from keys: station_id alone or with source, product_id or both.
 
-    A row of the table is concerned when from_date <= updated_at < to_date; a missing
-    column or NULL does not restrict.
+    ``grain`` says which of these columns the changes are about; without it, all that
+    ``keys`` has. Keys with a NULL in one of them concern no row and are left out, so a
+    missing value never widens an update. A row of the table is concerned when
+    from_date <= updated_at < to_date; a date not given does not restrict.
     """
+    about = [c for c in GRAINS["source_product"] if c in (GRAINS[grain] if grain else keys.columns)]
+    keys = keys.dropna(subset=about)
     fixed = {"rule": rule, "new_flag": new_flag, "from_date": from_date, "to_date": to_date, "only_flag": only_flag}
     columns = []
     for name, kind in CHANGE_COLUMNS.items():
         if name in fixed:
             value = fixed[name] if isinstance(fixed[name], Column) else F.lit(fixed[name])
         else:
-            value = F.col(name) if name in keys.columns else F.lit(None)
+            value = F.col(name) if name in about else F.lit(None)
         columns.append(value.cast(kind).alias(name))
     return keys.select(*columns)
 
@@ -80,8 +86,9 @@ def union_all(parts: Iterable[DataFrame]) -> DataFrame:
 
 
 def grain_filter(grain: str) -> Column:
-    source, product = F.col("source").isNotNull(), F.col("product_id").isNotNull()
-    return {"source": source & ~product, "source_product": source & product, "product": ~source & product}[grain]
+    """Changes whose key columns are just those of the grain."""
+    has = {c: F.col(c).isNotNull() for c in GRAINS["source_product"]}
+    return reduce(Column.__and__, (test if c in GRAINS[grain] else ~test for c, test in has.items()))
 
 
 def apply_changes(
@@ -97,19 +104,31 @@ def apply_changes(
     compute. The changes of a key are first gathered in one row; a rule has one per key, so
     there are at most ``len(order)``. No broadcast is forced: Spark picks it when the
     change-set is small, and splits hot keys of the table otherwise.
+
+    A change of a rule that ``order`` lacks, or of a grain that ``grains`` lacks, fails the
+    query instead of being ignored.
     """
+    grains = tuple(grains)
+    if not grains:
+        raise ValueError("no grains to apply")
+    applied = reduce(Column.__or__, map(grain_filter, grains))
+    place = lookup(F.col("rule"), {rule: i for i, rule in enumerate(order)})
+    no_place = F.raise_error(F.concat(F.lit("rule without a place in the order: "), F.coalesce("rule", F.lit("NULL"))))
+    no_grain = F.raise_error(F.concat(F.lit("change of a grain that is not applied, by rule "), F.coalesce("rule", F.lit("NULL"))))
     step = F.struct(
-        lookup(F.col("rule"), {rule: i for i, rule in enumerate(order)}).alias("position"),
+        F.when(~applied, no_grain.cast("int")).otherwise(F.coalesce(place, no_place.cast("int"))).alias("position"),
         "from_date",
         "to_date",
         "only_flag",
         "new_flag",
     )
     gathered, result = [], table
-    for grain in grains:
+    for i, grain in enumerate(grains):
+        # the first join also reads what no join would, for the step to fail on it
+        chosen = grain_filter(grain) if i else grain_filter(grain) | ~applied
         keys, name = GRAINS[grain], f"_{grain}_changes"
         steps = F.sort_array(F.collect_set(step)).alias(name)
-        result = result.join(group_apart(changes.where(grain_filter(grain)), keys, steps), keys, "left")
+        result = result.join(group_apart(changes.where(chosen), keys, steps), keys, "left")
         gathered.append(F.col(name))
 
     updated_at = F.col("updated_at")

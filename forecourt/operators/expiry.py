@@ -40,7 +40,7 @@ def off_expired(
         .where(F.col("rule").isNotNull())
         .distinct()
     )
-    return change(keys, F.col("rule"), "f", to_date=F.col("to_date"))
+    return change(keys, F.col("rule"), "f", to_date=F.col("to_date"), grain="source")
 
 
 def off_expired_trusted(
@@ -50,7 +50,7 @@ def off_expired_trusted(
     days: int = refdata.TRUSTED_EXPIRY_DAYS,
 ) -> DataFrame:
     keys = expired_sources(snapshot, as_of, sources, days)
-    return change(keys, "off_expired_trusted", "f", to_date=day(as_of, -days))
+    return change(keys, "off_expired_trusted", "f", to_date=day(as_of, -days), grain="source")
 
 
 def off_expired_untrusted(
@@ -60,7 +60,7 @@ def off_expired_untrusted(
     days: int = refdata.UNTRUSTED_EXPIRY_DAYS,
 ) -> DataFrame:
     keys = expired_sources(snapshot, as_of, sources, days)
-    return change(keys, "off_expired_untrusted", "f", to_date=day(as_of, -days))
+    return change(keys, "off_expired_untrusted", "f", to_date=day(as_of, -days), grain="source")
 
 
 def out_of_bounds(snapshot: DataFrame, bounds: tuple[float, float] = refdata.GLOBAL_BOUNDS) -> DataFrame:
@@ -74,13 +74,13 @@ def out_of_bounds(snapshot: DataFrame, bounds: tuple[float, float] = refdata.GLO
 
 
 def off_out_of_bounds(snapshot: DataFrame, bounds: tuple[float, float] = refdata.GLOBAL_BOUNDS) -> DataFrame:
-    return change(out_of_bounds(snapshot, bounds), "off_out_of_bounds", "f")
+    return change(out_of_bounds(snapshot, bounds), "off_out_of_bounds", "f", grain="source_product")
 
 
 def off_products_beyond(products: DataFrame) -> DataFrame:
     """``off_out_of_bounds`` from a ``product_summary``."""
     keys = products.where(F.col("shown_beyond") > 0).select("station_id", "source", "product_id")
-    return change(keys, "off_out_of_bounds", "f")
+    return change(keys, "off_out_of_bounds", "f", grain="source_product")
 
 
 def diesel_duplicates(snapshot: DataFrame, products: Iterable[int] = refdata.DIESEL_PRODUCTS) -> DataFrame:
@@ -102,4 +102,4 @@ def diesel_duplicates(snapshot: DataFrame, products: Iterable[int] = refdata.DIE
 
 def off_old_diesel(snapshot: DataFrame, products: Iterable[int] = refdata.DIESEL_PRODUCTS) -> DataFrame:
     keys = diesel_duplicates(snapshot, products).select("station_id", "product_id")
-    return change(keys, "off_old_diesel", "f", only_flag="t")
+    return change(keys, "off_old_diesel", "f", only_flag="t", grain="product")

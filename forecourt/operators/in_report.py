@@ -67,7 +67,7 @@ def equivalent_product_dup(candidates: DataFrame, shown: DataFrame, groups=refda
     """Candidates whose fuel is already shown under another product at the same price.
 
     ``candidates`` has (station, source, product, new_price), ``shown`` the same key with
-    shown_price.
+    shown_price. Prices are equal when they are to the hundredth.
     """
     return _equivalents(candidates, shown, groups, "left_semi")
 
@@ -84,7 +84,7 @@ def _equivalents(candidates: DataFrame, shown: DataFrame, groups, how: str) -> D
         (F.col("station_id") == F.col("twin_station"))
         & (F.col("source") == F.col("twin_source"))
         & (F.col("fuel") == F.col("twin_group"))
-        & (F.col("new_price") == F.col("twin_price"))
+        & (F.round("new_price", 2) == F.round("twin_price", 2))
         & (F.col("product_id") != F.col("twin_product"))
     )
     tagged = candidates.withColumn("fuel", equivalence_group(F.col("product_id"), groups))
@@ -130,7 +130,7 @@ def show_new_products(
     )
     keys = _equivalents(valid, products, groups, "left_anti")
     start = F.when(F.col("source").isin(*sources), day(as_of)).otherwise(day(as_of, -window_days))
-    return change(keys, "on_in_report_new", "t", start, day(as_of, 1))
+    return change(keys, "on_in_report_new", "t", start, day(as_of, 1), grain="source_product")
 
 
 def hide_stale_products(
@@ -138,7 +138,7 @@ def hide_stale_products(
 ) -> DataFrame:
     """Hide the older products of the only source once it has new prices."""
     stale = products.where((F.col("shown_stale") > 0) & ~F.col("source").isin(*skip_sources)).select(*PRODUCT_KEY)
-    return change(stale.join(base, SOURCE_KEY, "left_semi"), "off_stale_in_report", "f")
+    return change(stale.join(base, SOURCE_KEY, "left_semi"), "off_stale_in_report", "f", grain="source_product")
 
 
 def on_in_report_new(

@@ -12,24 +12,35 @@ from forecourt.functions.registry import director_name, epoch_text, path_or_defa
 def registry_lookup(ids: DataFrame, registry: DataFrame) -> DataFrame:
     """(itn, payload) of every distinct id; payload is NULL where nothing is on file.
 
-    ``registry`` has one row per itn.
+    Of several records of an id the last by text counts.
     """
-    return ids.select("itn").distinct().join(registry.select("itn", "payload"), "itn", "left")
+    wanted = ids.select("itn").distinct()
+    records = registry.join(wanted, "itn", "left_semi").groupBy("itn").agg(F.max("payload").alias("payload"))
+    return wanted.join(records, "itn", "left")
 
 
-def parse_records(found: DataFrame) -> DataFrame:
-    """Parse each payload once; all paths then read the binary form."""
-    return found.withColumn("record", F.try_parse_json("payload")).drop("payload")
+def parse_records(found: DataFrame, mode: str = "null") -> DataFrame:
+    """Parse each payload once; all paths then read the binary form.
+
+    A payload that is no JSON fails (strict) or gives NULL (null); see ``malformed_records``.
+    """
+    parse = F.parse_json if mode == "strict" else F.try_parse_json
+    return found.withColumn("record", parse(F.col("payload"))).drop("payload")
+
+
+def malformed_records(found: DataFrame) -> DataFrame:
+    """The looked-up rows whose payload is no JSON."""
+    return found.where(F.col("payload").isNotNull() & F.try_parse_json("payload").isNull())
 
 
 def registry_flatten(found: DataFrame, mode: str = "strict") -> DataFrame:
-    """One typed row per looked-up id. ``mode`` says what an unknown code does."""
+    """One typed row per looked-up id. ``mode`` says what an unknown code or a broken record does."""
     record = F.col("record")
 
     def at(path: str, default: str | None = ""):
         return path_or_default(record, f"$[0].{path}", default)
 
-    fields = parse_records(found).select(
+    fields = parse_records(found, mode).select(
         "itn",
         at("value").alias("name"),
         at("data.type").alias("kind"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt import refdata
-from forecourt.functions.prices import best_first, day, source_rank
+from forecourt.functions.prices import best_first, day, picked_rank, source_rank
 from forecourt.operators.activation import chosen_sources, show_within_limits
 from forecourt.operators.changes import change
 from forecourt.operators.summary import limit_check, product_summary, source_summary
@@ -29,17 +29,21 @@ def pick_replacements(
     is_shown = (F.col("shown") > 0) & source.isNotNull()
     offered = source.isin(*replacing) & (F.col("fresh") > 0)
     rate = source_rank(source, ranks)
-    if strict_rank:
-        rate = F.when(offered, source_rank(source, ranks, strict=True))
     return (
         per_source.groupBy("station_id")
         .agg(
             F.count_if(is_shown).alias("count_source"),
             F.min(F.when(is_shown & source.isin(*replaceable), source)).alias("old_source"),
             F.min(F.when(offered, F.struct(*best_first(rate, source)))).alias("best"),
+            F.min(F.when(offered & rate.isNull(), source)).alias("unranked"),
         )
         .where((F.col("count_source") == 1) & F.col("old_source").isNotNull() & F.col("best").isNotNull())
-        .select("station_id", "old_source", F.col("best.source").alias("new_source"), F.col("best.rate").alias("rate"))
+        .select(
+            "station_id",
+            "old_source",
+            F.col("best.source").alias("new_source"),
+            picked_rank(F.col("best.rate"), F.col("unranked"), strict_rank).alias("rate"),
+        )
     )
 
 
@@ -63,7 +67,7 @@ def coalesce_update(own: DataFrame, other: DataFrame, key: str, column: str) ->
 def off_replaced_source(replacements: DataFrame) -> DataFrame:
     """Hide the old source, whether or not a product of the new one will pass."""
     keys = replacements.select("station_id", F.col("old_source").alias("source"))
-    return change(keys, "off_replaced_source", "f")
+    return change(keys, "off_replaced_source", "f", grain="source")
 
 
 def on_replacing_source(
@@ -72,9 +76,13 @@ def on_replacing_source(
     as_of: date,
     replacing: Iterable[str] = refdata.REPLACING_SOURCES,
     limits: Mapping[int, tuple[float, float]] = refdata.PRICE_LIMITS,
+    products: DataFrame | None = None,
 ) -> DataFrame:
-    """Show the new hidden products within limits of the new source."""
-    products = product_summary(snapshot.where(F.col("source").isin(*replacing)), as_of)
+    """Show the new hidden products within limits of the new source.
+
+    A ready ``product_summary`` of the snapshot saves reading it once more.
+    """
+    products = products or product_summary(snapshot.where(F.col("source").isin(*replacing)), as_of)
     return show_within_limits(replacing_keys(replacements, as_of), products, as_of, limits)
 
 
@@ -120,10 +128,10 @@ def count_race(
 def off_yandex_for_benzuber(race: DataFrame, shown_source: str = "api_yandex_fuel") -> DataFrame:
     """Hide the shown source where the rival wins without a bad price."""
     keys = race.where(F.col("rival_bad") == 0).select("station_id", F.lit(shown_source).alias("source"))
-    return change(keys, "off_yandex_for_benzuber", "f")
+    return change(keys, "off_yandex_for_benzuber", "f", grain="source")
 
 
 def on_benzuber(race: DataFrame, as_of: date, rival: str = "api_benzuber") -> DataFrame:
     """Show the day's rows of the rival at the same stations."""
     keys = race.where(F.col("rival_bad") == 0).select("station_id", F.lit(rival).alias("source"))
-    return change(keys, "on_benzuber", "t", day(as_of), day(as_of, 1))
+    return change(keys, "on_benzuber", "t", day(as_of), day(as_of, 1), grain="source")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt import refdata
@@ -102,8 +102,7 @@ def source_quality(
 def count_fuel(snapshot: DataFrame) -> DataFrame:
     """Rows per (station, source, date) and per (station, source)."""
     per_day = snapshot.groupBy(*SOURCE_KEY, "date_upd").agg(F.count(F.lit(1)).alias("count_fuel"))
-    totals = per_day.groupBy(*SOURCE_KEY).agg(F.sum("count_fuel").alias("total"))
-    return per_day.join(totals, SOURCE_KEY)
+    return per_day.withColumn("total", F.sum("count_fuel").over(Window.partitionBy(*SOURCE_KEY)))
 
 
 def sources_per_station(snapshot: DataFrame) -> DataFrame:

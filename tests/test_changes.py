@@ -2,8 +2,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from helpers import AS_OF, TABLE, ago, rows, table
+import pytest
+from helpers import AS_OF, TABLE, ago, rows, snapshot, table
 
+from forecourt.operators import expiry
 from forecourt.operators.changes import CHANGE_SCHEMA, apply_changes, change, change_text, union_all
 
 
@@ -97,3 +99,34 @@ def test_change_schema_and_text(spark):
         ),
         ("y", "station_id = 1 and product_id = 2"),
     ]
+
+
+def test_station_grain(spark):
+    prices = table(spark, [(1, 2, 60.0, "a", "t", 0), (1, 3, 60.0, None, "t", 0), (2, 2, 60.0, "a", "t", 0)])
+    whole = changes(spark, ("off_out_of_bounds", 1, None, None, None, None, None, "f"))
+    assert {(f[0], f[3]) for f in flags(apply_changes(prices, whole))} == {(1, "f"), (2, "t")}
+
+
+def test_what_would_be_ignored_fails(spark):
+    prices = table(spark, [(1, 2, 60.0, "a", "t", 0)])
+    unknown = changes(spark, ("no_such_rule", 1, "a", None, None, None, None, "f"))
+    with pytest.raises(Exception, match="without a place"):
+        apply_changes(prices, unknown).collect()
+    product = changes(spark, ("off_old_diesel", 1, None, 2, None, None, None, "f"))
+    with pytest.raises(Exception, match="not applied"):
+        apply_changes(prices, product, grains=("source",)).collect()
+    nowhere = changes(spark, ("off_old_diesel", None, None, 2, None, None, None, "f"))
+    with pytest.raises(Exception, match="not applied"):
+        apply_changes(prices, nowhere).collect()
+
+
+def test_a_missing_key_never_widens_an_update(spark):
+    prices = [(1, 2, 5.0, None, "t", 0), (1, 2, 60.0, "api_gpn", "t", 0), (2, None, 5.0, "api_gpn", "t", 0), (2, 2, 60.0, "api_gpn", "t", 0)]
+    made = expiry.off_out_of_bounds(snapshot(spark, prices))
+    assert made.count() == 0
+    given = table(spark, prices)
+    done = apply_changes(given, made).select("station_id", "price", "show_in_report").collect()
+    assert {r["show_in_report"] for r in done} == {"t"} and len(done) == 4
+    keys = spark.createDataFrame([(1, "a", None), (1, "b", 2)], "station_id bigint, source string, product_id bigint")
+    assert rows(change(keys, "x", "f"), "source", "product_id") == [("b", 2)]
+    assert rows(change(keys, "x", "f", grain="source"), "source", "product_id") == [("a", None), ("b", None)]

@@ -470,6 +470,7 @@ BODIES = {
  || CASE WHEN to_date IS NULL THEN '' ELSE ' and updated_at < ' || to_date END
  || CASE WHEN only_flag IS NULL THEN '' ELSE ' and show_in_report = ''' || only_flag || '''' END AS line FROM everything""",
     "apply_changes": "SELECT station_id, product_id, source, show_in_report, updated_by_id FROM applied",
+    "apply_no_changes": "SELECT station_id, product_id, source, show_in_report, updated_by_id FROM obs",
     "price_visibility": "SELECT station_id, product_id, source, price, show_in_report, updated_by_id FROM table4",
     "parse_gps": """SELECT id AS gs_id, trim(split_part(gps_var, ',', 1)) AS lat_text,
  trim(split_part(gps_var, ',', -1)) AS lon_text FROM geo""",

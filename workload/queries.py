@@ -60,6 +60,12 @@ def swaps(spark, sf):
     return replacement.source_replacement(fx.snapshot(spark, sf), AS_OF)
 
 
+def products_read_once(spark, sf):
+    """Summary per product and, from it, per source: rules that need both read the prices once."""
+    products = materialise(summary.product_summary(fx.snapshot(spark, sf), AS_OF), "products")
+    return products, summary.judge_sources(products)
+
+
 def race(spark, sf):
     return replacement.count_race(fx.snapshot(spark, sf), AS_OF)
 
@@ -279,12 +285,16 @@ def on_new_untrusted(spark, sf):
 
 @query
 def on_partial_trusted(spark, sf):
-    return activation.on_partial_trusted(scored(spark, sf), fx.snapshot(spark, sf), AS_OF)
+    products, quality = products_read_once(spark, sf)
+    scores = activation.pick_sources(quality, AS_OF)
+    return activation.on_partial_trusted(scores, fx.snapshot(spark, sf), AS_OF, products=products)
 
 
 @query
 def on_partial_untrusted(spark, sf):
-    return activation.on_partial_untrusted(scored(spark, sf), fx.snapshot(spark, sf), AS_OF)
+    products, quality = products_read_once(spark, sf)
+    scores = activation.pick_sources(quality, AS_OF)
+    return activation.on_partial_untrusted(scores, fx.snapshot(spark, sf), AS_OF, products=products)
 
 
 @query
@@ -328,7 +338,9 @@ def off_replaced_source(spark, sf):
 
 @query
 def on_replacing_source(spark, sf):
-    return replacement.on_replacing_source(swaps(spark, sf), fx.snapshot(spark, sf), AS_OF)
+    products, quality = products_read_once(spark, sf)
+    found = replacement.pick_replacements(quality)
+    return replacement.on_replacing_source(found, fx.snapshot(spark, sf), AS_OF, products=products)
 
 
 @query
@@ -509,6 +521,13 @@ def registry_flatten(spark, sf):
     return enrichment.company_table(fx.company_ids(spark, sf), fx.registry(spark, sf))
 
 
+@query
+def apply_no_changes(spark, sf):
+    """An empty change-set leaves every row as it is."""
+    done = changes.apply_changes(fx.prices(spark, sf), spark.createDataFrame([], changes.CHANGE_SCHEMA))
+    return done.select("station_id", "product_id", "source", "show_in_report", "updated_by_id")
+
+
 @query
 def registry_sink(spark, sf):
     run_id = uuid.uuid4().hex
