@@ -32,7 +32,7 @@ def result(spark, name):
 def test_all_are_registered():
     names = contract.queries()
     assert "pipeline" in names
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
 
 
 def test_toxicity(spark, tables):
