@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from forecourt import refdata
 from forecourt.functions.prices import lookup
 from forecourt.operators.skew import group_apart
+from forecourt.session import materialise
 
 CHANGE_COLUMNS = {
     "rule": "string",
@@ -51,6 +52,9 @@ GRAINS = {
     "station": ["station_id"],
 }
 
+# what decides, besides the changes, on the outcome of a row
+ROW_KEY = ["station_id", "source", "product_id", "updated_at", "show_in_report"]
+
 
 def change(
     keys: DataFrame,
@@ -91,46 +95,41 @@ def grain_filter(grain: str) -> Column:
     return reduce(Column.__and__, (test if c in GRAINS[grain] else ~test for c, test in has.items()))
 
 
-def apply_changes(
-    table: DataFrame,
-    changes: DataFrame,
-    order: Sequence[str] = RULE_ORDER,
-    grains: Iterable[str] = tuple(GRAINS),
-    updated_by: int = refdata.UPDATED_BY_ID,
-) -> DataFrame:
-    """The price table as it is after one update per rule, run in ``order``.
+def checked_rows(changes: DataFrame, order: Sequence[str], grains: Sequence[str]) -> int:
+    """Number of changes; raises if one of them has a rule or a grain that would not be run.
 
-    One equi join per grain, each reading ``changes``; write out one that is costly to
-    compute. The changes of a key are first gathered in one row; a rule has one per key, so
-    there are at most ``len(order)``. No broadcast is forced: Spark picks it when the
-    change-set is small, and splits hot keys of the table otherwise.
-
-    A change of a rule that ``order`` lacks, or of a grain that ``grains`` lacks, fails the
-    query instead of being ignored.
+    An aggregate over the changes alone, read on the driver: a check inside a join can be lost to
+    filters that the optimizer infers from the join.
     """
-    grains = tuple(grains)
-    if not grains:
-        raise ValueError("no grains to apply")
     applied = reduce(Column.__or__, map(grain_filter, grains))
-    place = lookup(F.col("rule"), {rule: i for i, rule in enumerate(order)})
-    no_place = F.raise_error(F.concat(F.lit("rule without a place in the order: "), F.coalesce("rule", F.lit("NULL"))))
-    no_grain = F.raise_error(F.concat(F.lit("change of a grain that is not applied, by rule "), F.coalesce("rule", F.lit("NULL"))))
+    rule = F.coalesce("rule", F.lit("NULL"))
+    no_place = ~F.coalesce(F.col("rule").isin(*order), F.lit(False))
+    row = changes.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.when(no_place, rule)).alias("no_place"),
+        F.max(F.when(~applied, rule)).alias("no_grain"),
+    ).first()
+    if row["no_place"] is not None:
+        raise ValueError(f"rule without a place in the order: {row['no_place']}")
+    if row["no_grain"] is not None:
+        raise ValueError(f"change of a grain that is not applied, by rule {row['no_grain']}")
+    return row["n"]
+
+
+def gathered(changes: DataFrame, grain: str, order: Sequence[str]) -> DataFrame:
+    """The changes of one grain: its keys and an array of steps in the order of the rules."""
     step = F.struct(
-        F.when(~applied, no_grain.cast("int")).otherwise(F.coalesce(place, no_place.cast("int"))).alias("position"),
+        lookup(F.col("rule"), {rule: i for i, rule in enumerate(order)}).alias("position"),
         "from_date",
         "to_date",
         "only_flag",
         "new_flag",
     )
-    gathered, result = [], table
-    for i, grain in enumerate(grains):
-        # the first join also reads what no join would, for the step to fail on it
-        chosen = grain_filter(grain) if i else grain_filter(grain) | ~applied
-        keys, name = GRAINS[grain], f"_{grain}_changes"
-        steps = F.sort_array(F.collect_set(step)).alias(name)
-        result = result.join(group_apart(changes.where(chosen), keys, steps), keys, "left")
-        gathered.append(F.col(name))
+    return group_apart(changes.where(grain_filter(grain)), GRAINS[grain], F.sort_array(F.collect_set(step)).alias("steps"))
+
 
+def folded(steps: Column) -> Column:
+    """The flag after the last step that concerns the row; NULL where none does."""
     updated_at = F.col("updated_at")
 
     def run(state: Column, s: Column) -> Column:
@@ -140,23 +139,83 @@ def apply_changes(
         hit = F.struct(s["new_flag"].alias("flag"), F.lit(True).alias("hit"))
         return F.when(after & before & allowed, hit).otherwise(state)
 
-    steps = gathered[0]
-    if len(gathered) > 1:
-        several = sum((name.isNotNull().cast("int") for name in gathered), F.lit(0)) > 1
-        merged = F.sort_array(F.concat(*(F.coalesce(name, F.array()) for name in gathered)))
-        steps = F.when(several, merged).otherwise(F.coalesce(*gathered))
     start = F.struct(F.col("show_in_report").cast("string").alias("flag"), F.lit(False).alias("hit"))
     fold = F.aggregate(steps, start, run, lambda state: F.when(state["hit"], state["flag"]))
-    # the flag after the last update that concerns the row; NULL for the many rows without one
-    outcome = F.when(F.coalesce(*gathered).isNotNull(), fold)
+    # most rows have no steps
+    return F.when(steps.isNotNull(), fold)
+
+
+def merged(lists: Sequence[Column]) -> Column:
+    """The steps of several grains in the order of the rules; NULL where there are none."""
+    if len(lists) == 1:
+        return lists[0]
+    several = sum((name.isNotNull().cast("int") for name in lists), F.lit(0)) > 1
+    both = F.sort_array(F.concat(*(F.coalesce(name, F.array()) for name in lists)))
+    return F.when(several, both).otherwise(F.coalesce(*lists))
+
+
+def joined_directly(table: DataFrame, changes: DataFrame, order: Sequence[str], grains: Sequence[str]) -> DataFrame:
+    """``table`` with its outcome, by one broadcast per grain of a change-set of checked size."""
+    names = []
+    for grain in grains:
+        name = f"_{grain}_changes"
+        table = table.join(F.broadcast(gathered(changes, grain, order).withColumnRenamed("steps", name)), GRAINS[grain], "left")
+        names.append(F.col(name))
+    return table.withColumn("_outcome", folded(merged(names)))
+
+
+def outcomes(table: DataFrame, changes: DataFrame, order: Sequence[str], grains: Sequence[str]) -> DataFrame:
+    """``ROW_KEY`` and the flag afterwards, of the rows that a change concerns, once per key.
+
+    What happens to a row depends on these few columns alone, so only they, and only those of the
+    stations that are changed, are shuffled by the keys of each grain.
+    """
+    touched = materialise(changes.select("station_id").distinct(), "touched-stations")
+    rows = table.select(*ROW_KEY).join(touched, "station_id", "left_semi").select(F.struct(*ROW_KEY).alias("row")).distinct()
+    rows = materialise(rows, "touched-rows").select("row", *(F.col(f"row.{c}").alias(c) for c in GRAINS["source_product"]))
+    parts = [rows.join(gathered(changes, g, order), GRAINS[g]).select("row", "steps") for g in grains]
+    steps = union_all(parts).groupBy("row").agg(F.sort_array(F.flatten(F.collect_list("steps"))).alias("steps"))
+    found = steps.select("row.*", "steps").withColumn("_outcome", folded(F.col("steps")))
+    return found.where(F.col("_outcome").isNotNull()).select(*ROW_KEY, "_outcome")
+
+
+def joined_by_outcome(table: DataFrame, changes: DataFrame, order: Sequence[str], grains: Sequence[str]) -> DataFrame:
+    """``table`` with its outcome, by one join whatever the number of grains."""
+    found = materialise(outcomes(table, changes, order, grains), "outcomes")
+    found = found.select(*(F.col(c).alias(f"_of_{c}") for c in ROW_KEY), "_outcome")
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in ROW_KEY))
+    return table.join(found, same, "left").select(*table.columns, "_outcome")
+
+
+def apply_changes(
+    table: DataFrame,
+    changes: DataFrame,
+    order: Sequence[str] = RULE_ORDER,
+    grains: Iterable[str] = tuple(GRAINS),
+    updated_by: int = refdata.UPDATED_BY_ID,
+    broadcast_rows: int = refdata.BROADCAST_ROWS,
+) -> DataFrame:
+    """The price table as it is after one update per rule, run in ``order``.
+
+    ``changes`` are counted first, so write out those that are costly to compute. Up to ``broadcast_rows``
+    of them are sent to every executor, and the table is not shuffled at all. Beyond, the outcome is
+    worked out on the few columns that decide it and the table takes part in one join, in which Spark
+    splits hot keys.
+
+    A change of a rule that ``order`` lacks, or of a grain that ``grains`` lacks, raises
+    ValueError here instead of being ignored.
+    """
+    grains = tuple(grains)
+    if not grains:
+        raise ValueError("no grains to apply")
+    few = checked_rows(changes, order, grains) <= broadcast_rows
+    result = (joined_directly if few else joined_by_outcome)(table, changes, order, grains)
     touched = F.col("_outcome").isNotNull()
     written = {
         "show_in_report": F.coalesce("_outcome", "show_in_report"),
         "updated_by_id": F.when(touched, F.lit(updated_by)).otherwise(F.col("updated_by_id")).cast("bigint"),
     }
-    return result.withColumn("_outcome", outcome).select(
-        *(written[c].alias(c) if c in written else F.col(c) for c in table.columns)
-    )
+    return result.select(*(written[c].alias(c) if c in written else F.col(c) for c in table.columns))
 
 
 def change_text(changes: DataFrame) -> DataFrame:

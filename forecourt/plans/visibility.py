@@ -92,26 +92,36 @@ STAGES = (
 )
 
 
+def after_stage(state: list[DataFrame], changes: DataFrame, grains: tuple[str, ...]) -> list[DataFrame]:
+    """The working rows after a stage, as parts to be united.
+
+    Only the rows of the stations that the stage changed are read again, and get that stage's own
+    changes; the other rows stay where they were written.
+    """
+    changed = materialise(changes.select("station_id").distinct(), "changed-stations")
+    again = union_all(part.join(changed, "station_id", "left_semi") for part in state)
+    again = materialise(apply_changes(again, changes, grains=grains), "prices-changed")
+    return [*(part.join(changed, "station_id", "left_anti") for part in state), again]
+
+
 def visibility_changes(tables: PriceTables, as_of: date) -> DataFrame:
     """All changes of one run, stage by stage.
 
     The stages work on the recent rows of the stations in scope, with the columns the rules
     need: no rule can see any other row, whatever the stages before it changed. These rows
-    are written once. What a stage sees is these rows with the changes so far, applied in
-    one pass while they are read; only the change-sets are carried on.
+    are written once, and after a stage those of its stations.
     """
     longest = max(refdata.SHOWN_DAYS, refdata.HIDDEN_DAYS)
     recent = tables.prices.where(F.col("updated_at") > day(as_of, -longest)).select(*WORKING_COLUMNS)
     working = extract.in_scope(
         recent, tables.stations, tables.customer_stations, tables.customers, tables.competitors
     )
-    working = materialise(working, "prices-in-scope")
+    state = [materialise(working, "prices-in-scope")]
     done: list[DataFrame] = []
-    touched: set[str] = set()
     for stage, rules, grains in STAGES:
-        current = apply_changes(working, union_all(done), grains=sorted(touched)) if done else working
-        done.append(materialise(rules(extract.as_snapshot(current, as_of), as_of), f"changes-{stage}"))
-        touched.update(grains)
+        done.append(materialise(rules(extract.as_snapshot(union_all(state), as_of), as_of), f"changes-{stage}"))
+        if stage != STAGES[-1][0]:
+            state = after_stage(state, done[-1], grains)
     return union_all(done)
 
 

@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 from helpers import AS_OF, TABLE, ago, rows, snapshot, table
+from pyspark.sql import functions as F
 
 from forecourt.operators import expiry
 from forecourt.operators.changes import CHANGE_SCHEMA, apply_changes, change, change_text, union_all
@@ -107,7 +108,9 @@ def test_station_grain(spark):
     assert {(f[0], f[3]) for f in flags(apply_changes(prices, whole))} == {(1, "f"), (2, "t")}
 
 
-def test_what_would_be_ignored_fails(spark):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_what_would_be_ignored_fails(spark, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     prices = table(spark, [(1, 2, 60.0, "a", "t", 0)])
     unknown = changes(spark, ("no_such_rule", 1, "a", None, None, None, None, "f"))
     with pytest.raises(Exception, match="without a place"):
@@ -118,6 +121,7 @@ def test_what_would_be_ignored_fails(spark):
     nowhere = changes(spark, ("off_old_diesel", None, None, 2, None, None, None, "f"))
     with pytest.raises(Exception, match="not applied"):
         apply_changes(prices, nowhere).collect()
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_a_missing_key_never_widens_an_update(spark):
@@ -130,3 +134,27 @@ def test_a_missing_key_never_widens_an_update(spark):
     keys = spark.createDataFrame([(1, "a", None), (1, "b", 2)], "station_id bigint, source string, product_id bigint")
     assert rows(change(keys, "x", "f"), "source", "product_id") == [("b", 2)]
     assert rows(change(keys, "x", "f", grain="source"), "source", "product_id") == [("a", None), ("b", None)]
+
+
+def test_both_ways_agree(spark):
+    """Broadcast changes and outcomes by key give the same table, missing keys and all."""
+    prices = table(
+        spark,
+        [(s, p, 60.0, src, f, a) for s in (1, 2, None) for p in (2, None) for src in ("a", None) for f in ("t", "f", None) for a in (0, 5)]
+        + [(1, 2, 60.0, "a", "t", 0)] * 3,
+    )
+    prices = prices.union(prices.limit(2).withColumn("updated_at", F.lit(None).cast("timestamp")))
+    some = changes(
+        spark,
+        ("on_benzuber", 1, "a", None, AS_OF, None, None, "t"),
+        ("off_expired_trusted", 1, "a", None, None, ago(2), None, "f"),
+        ("off_out_of_bounds", 1, "a", 2, None, None, "t", "f"),
+        ("off_old_diesel", 1, None, 2, None, None, "t", "f"),
+        ("off_old_diesel", 2, None, None, None, None, "f", "t"),
+    )
+    direct, by_key = (apply_changes(prices, some, broadcast_rows=n) for n in (100, 0))
+    assert direct.columns == by_key.columns == prices.columns
+    assert sorted(map(repr, direct.collect())) == sorted(map(repr, by_key.collect()))
+    assert direct.where("updated_by_id = 1").count() > 5
+    with pytest.raises(ValueError, match="not applied"):
+        apply_changes(prices, some, grains=("source",), broadcast_rows=0)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from forecourt import refdata
 from forecourt.operators import activation, competitors, expiry, extract, in_report, knn
-from forecourt.operators.changes import CHANGE_SCHEMA, apply_changes
+from forecourt.operators.changes import CHANGE_SCHEMA, RULE_ORDER, apply_changes, outcomes
 
 
 @pytest.fixture
@@ -98,18 +98,43 @@ def final_plan(df) -> str:
     return query.executedPlan().toString()
 
 
-def test_a_hot_station_is_split_when_changes_are_applied(shuffling):
-    prices = hot_table(shuffling)
+def hot_changes(spark):
     stations = [(7, "s1")] + [(s, "s1") for s in range(100, 400)]
     data = [("off_out_of_bounds", s, src, None, None, None, None, "f") for s, src in stations]
-    changes = shuffling.createDataFrame(data, CHANGE_SCHEMA)
-    out = apply_changes(prices, changes, grains=("source",))
-    assert "skew=true" in final_plan(out)
-    counts = dict(map(tuple, out.groupBy("updated_by_id").count().collect()))
+    by_product = [("off_old_diesel", 7, None, p, None, None, "t", "f") for p in range(20)]
+    return spark.createDataFrame(data + by_product, CHANGE_SCHEMA)
+
+
+def test_a_hot_station_is_split_when_changes_are_applied(shuffling):
+    prices, changes = hot_table(shuffling), hot_changes(shuffling)
+    narrow = outcomes(prices, changes, RULE_ORDER, ("source", "product"))
+    assert "skew=true" in final_plan(narrow)
+    out = apply_changes(prices, changes, grains=("source", "product"), broadcast_rows=0)
     expected = prices.join(changes.select("station_id", "source"), ["station_id", "source"], "left_semi").count()
+    counts = dict(map(tuple, out.groupBy("updated_by_id").count().collect()))
     assert counts == {1: expected, 0: 80_000 - expected}
 
 
+def test_the_wide_table_is_shuffled_once_at_most(shuffling, tmp_path):
+    hot_table(shuffling).write.parquet(str(tmp_path / "wide"))
+    prices, changes = shuffling.read.parquet(str(tmp_path / "wide")), hot_changes(shuffling)
+    few = plan(apply_changes(prices, changes))
+    assert "SortMergeJoin" not in few and few.count("BroadcastHashJoin") == 4
+    many = plan(apply_changes(prices, changes, broadcast_rows=0))
+    assert many.count("SortMergeJoin") == 1 and many.count("Exchange hashpartitioning") == 2 and "Broadcast" not in many
+    wide = [line for line in many.splitlines() if "FileScan" in line and "padding" in line]
+    assert len(wide) == 1
+
+
+def test_rows_with_one_key_are_split(shuffling):
+    """Half of the table agrees in every column that decides."""
+    prices = hot_table(shuffling).withColumn("product_id", F.when(F.col("station_id") == 7, 2).otherwise(F.col("product_id")))
+    prices = prices.withColumn("show_in_report", F.lit("t"))
+    out = apply_changes(prices, hot_changes(shuffling), broadcast_rows=0)
+    assert "skew=true" in final_plan(out)
+    assert out.where("station_id = 7 and show_in_report = 'f'").count() == 40_000
+
+
 def test_a_hot_station_is_split_when_stations_are_excluded(shuffling):
     spark = shuffling
     ids = spark.range(0, 4000).select((F.col("id") + 200).alias("id"), F.lit(1).alias("region_id"))
