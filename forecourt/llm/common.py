@@ -76,25 +76,56 @@ def pieces(bounds: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int, i
         first = last
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word, A-Z lowered, and each row's bounds in the list of words.
+def chunks(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _IS_SPACE, size: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]:
+    """Rows [first, last), some of their bytes, the rows' bounds in these, and whether a row goes on from the chunk before.
 
-    ``between`` tells of every byte whether it separates words.
+    A text longer than ``size`` comes alone and in several chunks, cut between words; one longer word is one chunk.
     """
-    rows = len(bounds) - 1
+    for first, last in pieces(bounds, size):
+        if last - first > 1 or bounds[last] - bounds[first] <= size:
+            yield first, last, data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first], False
+            continue
+        start, end = int(bounds[first]), int(bounds[last])
+        at = start
+        while at < end:
+            to = min(at + size, end)
+            while to < end and not between[data[to]]:
+                gap = np.flatnonzero(between[data[to : min(to + size, end)]])
+                to = to + int(gap[0]) if len(gap) else min(to + size, end)
+            yield first, last, data[at:to], np.array([0, to - at]), at > start
+            at = to
+
+
+def word_bounds(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word; ``between`` tells of every byte whether it separates words."""
     if not len(data):
-        return np.empty(0, np.uint64), np.zeros(rows + 1, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     gap = between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True
     solid = ~gap
     starts = np.flatnonzero(solid & (np.concatenate(([True], gap[:-1])) | edge[:-1]))
-    ends = np.flatnonzero(solid & (np.concatenate((gap[1:], [True])) | edge[1:])) + 1
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_LOWER[data] * up[: len(data)], out=total[1:])
-    hashes = (total[ends] - total[starts]) * down[starts]
-    return mix(hashes ^ (ends - starts).astype(np.uint64)), np.searchsorted(starts, bounds)
+    return starts, np.flatnonzero(solid & (np.concatenate((gap[1:], [True])) | edge[1:])) + 1
+
+
+class Hashes:
+    """Hashes of any runs of some bytes, A-Z lowered."""
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = powers(len(data) + 1)
+        self.total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_LOWER[data] * up[: len(data)], out=self.total[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.total[ends] - self.total[starts]) * self.down[starts] ^ (ends - starts).astype(np.uint64))
+
+
+def word_hashes(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, A-Z lowered, and each row's bounds in the list of words."""
+    starts, ends = word_bounds(data, bounds, between)
+    if not len(data):
+        return np.empty(0, np.uint64), np.zeros(len(bounds), np.int64)
+    return Hashes(data).of(starts, ends), np.searchsorted(starts, bounds)
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,6 +167,14 @@ def fold_of(column: str, parts: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(parts)
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """The name, with as many underscores behind it as make it no column of the frames."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -72,26 +72,10 @@ def word_buckets(data: np.ndarray, buckets: int = BUCKETS) -> tuple[np.ndarray,
     return starts, out
 
 
-def chunks(data: np.ndarray, bounds: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows [first, last), some bytes of them between two words, and the rows' bounds within (a long text comes in several)."""
-    for first, last in common.pieces(bounds, size):
-        if last - first > 1 or bounds[last] - bounds[first] <= size:
-            yield first, last, data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
-            continue
-        at, end = int(bounds[first]), int(bounds[last])
-        while at < end:
-            to = min(at + size, end)
-            while to < end and _IN_WORD[data[to]]:
-                gap = np.flatnonzero(~_IN_WORD[data[to : min(to + size, end)]])
-                to = to + int(gap[0]) if len(gap) else min(to + size, end)
-            yield first, last, data[at:to], np.array([0, to - at])
-            at = to
-
-
 def _features(column: pa.Array, buckets: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Rows [first, last), the row of each word counted from first, and its bucket."""
     data, bounds = common.buffers(column)
-    for first, last, part, within in chunks(data, bounds):
+    for first, last, part, within, _ in common.chunks(data, bounds, ~_IN_WORD, CHUNK):
         # words do not run from one text into the next
         apart = np.full(len(part) + last - first, 32, np.uint8)
         shift = np.repeat(np.arange(last - first), np.diff(within))
