@@ -193,11 +193,15 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     known = docs.where("isnotnull(lang) and length(text) > 0").select("lang", "text", F.xxhash64("text").alias("h"))
     starts = [F.lit(1) + F.pmod(F.xxhash64(F.lit(i), "h"), F.greatest(F.lit(1), F.length("text") - WINDOW)).cast("int") for i in range(WINDOWS)]
     cut = F.array(*[F.substring("text", s, F.lit(WINDOW)) for s in starts]).alias("windows")
-    # about twice as many documents as wanted of each language, by hash; then the first of these
-    size = docs.where("isnotnull(lang)").groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    some = known.join(size, "lang").where(F.pmod("h", F.lit(1_000_003)) / 1_000_003 <= 20.0 / F.col("size") + 2.0 * per_language / F.col("size"))
+    # about twice as many documents as wanted of each language, by hash, before anything is shuffled; then the first of these
+    sizes = docs.where("isnotnull(lang)").groupBy("lang").agg(F.count(F.lit(1)).alias("size")).collect()  # one row per language
+    if not sizes:
+        return None
+    share = {r["lang"]: (20 + 2 * per_language) / r["size"] for r in sizes}
+    shares = F.create_map(*[F.lit(x) for item in share.items() for x in item])
+    some = known.where(F.pmod("h", F.lit(1_000_003)) / 1_000_003 <= F.try_element_at(shares, F.col("lang"))).select("lang", "h", cut)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "windows"))
-    picked = some.select("lang", "h", cut).withColumn("n", rank).where(F.col("n") <= per_language)
+    picked = some.withColumn("n", rank).where(F.col("n") <= per_language)
     rows = picked.select("lang", "h", F.explode("windows").alias("window")).orderBy("lang", "h", "window").collect()
     if not rows:
         return None
@@ -249,7 +253,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 
 def of_known_language(docs: DataFrame, net: Network | None, least: float = LEAST_SCORE) -> DataFrame:
     """The documents of a learned language, recognised with at least this score, with all their columns."""
-    answers, name = _predict(net), "__letters"
+    answers, name = _predict(net), common.unused("letters", docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
