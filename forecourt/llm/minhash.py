@@ -28,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.llm import common
 from forecourt.llm.components import components
+from forecourt.operators.skew import group_apart
 from forecourt.session import materialise
 
 K = 5
@@ -189,8 +190,8 @@ def _further_links(members: DataFrame, comps: DataFrame, sets: DataFrame, percen
         members.join(comps.withColumnRenamed("node", "id"), "id", "left").select("h", "id", F.coalesce("component", "id").alias("comp")), "placed"
     )
     per_comp = placed.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = per_comp.groupBy("h").agg(
-        F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_comps")
+    mixed = group_apart(
+        per_comp, ["h"], F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_comps")
     ).where("n_comps > 1")
     blocks = placed.join(mixed, "h").select(
         "h", "id", "comp", (F.col("comp") != F.col("main")).alias("rest"),
@@ -221,10 +222,12 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     buckets = banded.groupBy("h").agg(
         F.min("id").alias("leader"), F.max("id").alias("top"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("who")
     ).where("leader < top").groupBy("leader", "top", "n", "who").agg(F.min("h").alias("h"))
-    members = materialise(banded.join(buckets.select("h", "leader", "n"), "h"), "members")
+    # written, so that the joins get their real size and Spark can split a hot bucket
+    buckets = materialise(buckets.select("h", "leader", "n"), "buckets")
+    members = materialise(banded.join(buckets, "h"), "members")
     stars = materialise(members.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "stars")
-    needed = stars.select(F.col("a").alias("id")).union(stars.select(F.col("b").alias("id"))).distinct()
-    some = texts.withColumnRenamed("doc_id", "id").join(needed.hint("shuffle_hash"), "id", "left_semi")
+    needed = materialise(stars.select(F.col("a").alias("id")).union(stars.select(F.col("b").alias("id"))).distinct(), "needed")
+    some = texts.withColumnRenamed("doc_id", "id").join(needed, "id", "left_semi")
     sets = materialise(some.mapInArrow(_sets(k), SETS), "sets")
     links = materialise(_star_links(stars, sets, percent), "star_links")
     further = _further_links(members.where("n > 2").select("h", "id"), components(links), sets, percent)
@@ -237,7 +240,15 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
 
 
 def one_of_each(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """The documents less all but one of each group, with all their columns."""
-    kept = near_duplicates(docs, k, percent).where("kept and isnotnull(doc_id)").select(F.col("doc_id").alias("kept_id")).distinct()
-    stay = docs.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("bigint") == F.col("kept_id"), "left_semi")
-    return stay.dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))
+    """The documents less all but one of each group, with all their columns.
+
+    Of several rows with the doc_id that stays, the one with the smallest text stays (a null text comes
+    last), of equal texts the one with the smallest hash of all columns. Rows without a doc_id stay.
+    """
+    kept = near_duplicates(docs, k, percent).where("kept and isnotnull(doc_id)").select(F.col("doc_id").alias("kept")).distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.col("doc_id").cast("bigint").alias("id"), "text")
+    stay = rows.join(kept, F.col("id") == F.col("kept"), "left_semi")
+    order = Window.partitionBy("id").orderBy(F.asc_nulls_last("text"), F.xxhash64("row"))
+    first = stay.withColumn("n", F.row_number().over(order)).where("n = 1")
+    return first.select("row.*").union(docs.where("doc_id is null"))
