@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.llm import common
+from forecourt.operators.skew import group_apart
 from forecourt.session import materialise
 
 LENGTH = 100
@@ -251,7 +252,7 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The texts by id (id, text), and per id what to remove (id, runs, copies: digests of texts that go whole)."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("id"), "text")
     found = texts.mapInArrow(_find_anchors, "id bigint, gram bigint, at bigint")
-    repeated = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = group_apart(found, ["gram"], F.count(F.lit(1)).alias("n")).where("n > 1")
     found = materialise(found.join(repeated, "gram").select("id", "gram", "n", "at"), "anchors")
     digests = texts.where(F.octet_length("text") >= LENGTH).select("id", F.md5("text").alias("digest"))
     firsts = digests.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
