@@ -208,12 +208,13 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The documents of the mix with all their columns and a column ``copies`` (1 or more)."""
-    chosen = mix(docs).where("copies > 0").select("doc_id", "source", "row_key", "copies").hint("shuffle_hash")
-    keyed = docs.select("*", F.xxhash64("text").alias("__key"))
-    on = (
-        keyed["doc_id"].cast("bigint").eqNullSafe(chosen["doc_id"])
-        & keyed["source"].cast("string").eqNullSafe(chosen["source"])
-        & (keyed["__key"] == chosen["row_key"])
-    )
-    return keyed.join(chosen, on).select(*[keyed[c] for c in docs.columns], chosen["copies"])
+    """The documents of the mix with all their columns and, at the end, how often to take each: ``copies`` (1 or more).
+
+    A column of that name in ``docs`` is replaced.
+    """
+    chosen = mix(docs).where("copies > 0").select(F.col("doc_id").alias("id_"), F.col("source").alias("source_"), "row_key", F.col("copies").alias("times"))
+    kept = [c for c in docs.columns if c.lower() != "copies"]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept])
+    keyed = docs.select(row.alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.col("source").cast("string").alias("of"), F.xxhash64("text").alias("text_key"))
+    on = keyed["id"].eqNullSafe(chosen["id_"]) & keyed["of"].eqNullSafe(chosen["source_"]) & (keyed["text_key"] == chosen["row_key"])
+    return keyed.join(chosen, on).select("row.*", F.col("times").alias("copies"))

@@ -8,6 +8,7 @@ from collections import defaultdict
 import brute
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql.types import LongType, StructField, StructType
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -147,4 +148,4 @@ def test_pipeline_stages(spark, tables):
 
 
 def stage_schema(docs, name):
-    return docs.schema.add("copies", "bigint") if name == "mix" else docs.schema
+    return StructType([*docs.schema, StructField("copies", LongType())]) if name == "mix" else docs.schema
