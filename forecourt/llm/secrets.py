@@ -6,7 +6,8 @@ run of name-literal pairs: ``name = "literal"``, ``name: literal``, ``"name": "l
 propagated: a name used as a value (``x``, ``$x``, ``${x}``) stands for the literals it was last given
 in this text. Each value is scored by the words of its target's name and by its own shape;
 the literals of a value at or above ``THRESHOLD`` become spans of kind ``named`` unless a base span
-covers them.
+covers them. Names, gaps and values may have any length; a value keeps its length, its counts of characters (those beyond ASCII
+count as one) and its ends, so time and memory stay in proportion to the text.
 
 Whole texts are scanned, positions count code points, ends are exclusive. Null and empty texts have
 no spans. Rows are independent, so ties and repeated rows need no rule. ``find_secrets``
@@ -18,8 +19,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,13 +48,15 @@ THRESHOLD = 4.0
 LITERAL_LEAST = 8
 MASK = "[SECRET]"
 
+# runs are possessive, so names and gaps of any length take linear time
 _PAIR = re.compile(
-    r"""(?<![\w.$-])(["']?)([A-Za-z_][\w.-]{0,127})\1[\x20\t]{0,8}(?::=|=>|[:=])(?!=)[\x20\t]{0,8}(?=[\w"'$/+.-])""", re.A
+    r"""(?<![\w.$-])(["']?)([A-Za-z_][\w.-]*+)\1[\x20\t]*+(?::=|=>|[:=])(?!=)[\x20\t]*+(?=[\w"'$/+.-])""", re.A
 )
-_LITERAL = re.compile(r'''"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)\'''')
-_BARE = re.compile(r"""[^\s"',;#(){}\[\]<>]+""")
-_JOIN = re.compile(r"[\x20\t]*\+[\x20\t]*")
-_REFERENCE = re.compile(r"\$?\{?([A-Za-z_][\w.-]*)\}?", re.A)
+_LITERAL = re.compile(r'''"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)\'''')
+_BARE = re.compile(r"""[^\s"',;#(){}\[\]<>]++""")
+_JOIN = re.compile(r"[\x20\t]*+\+[\x20\t]*+")
+_REFERENCE = re.compile(r"\$?([A-Za-z_][\w.-]*)", re.A)
+_BRACED = re.compile(r"\$\{([A-Za-z_][\w.-]*+)\}", re.A)
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 Span = tuple[str, int, int]
@@ -76,57 +81,102 @@ def name_score(name: str) -> float:
     return sum(NAME_WORDS.get(p, 0.0) for p in {*parts, *joined})
 
 
-def literal_score(value: str) -> float:
-    """Entropy per character and kinds of characters; below zero for what can't be a secret."""
-    if len(value) < LITERAL_LEAST or any(p in value.lower() for p in PLACEHOLDERS) or re.search(r"\s", value):
-        return -10.0
-    counts = Counter(value).values()
-    entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in counts)
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return entropy / 2 + 0.5 * (kinds - 1) - 0.5
+#: Characters kept of both ends of a value, so that a placeholder is found across a joint.
+_EDGE = max(map(len, PLACEHOLDERS)) - 1
+_OTHER = "\x80"  # stands for every character beyond ASCII
 
 
-def _value(text: str, at: int, known: dict[str, tuple[str, list]]) -> tuple[str, list[tuple[int, int]], int]:
-    """The value that starts at a position, the ranges of its literals, and where it ends."""
-    value, ranges = "", []
+class Value:
+    """What a value's score needs, and the literals it is made of; parts are shared, never copied.
+
+    So a value that is joined with itself over and over takes one small object a time.
+    """
+
+    __slots__ = ("n", "counts", "barred", "head", "tail", "parts", "shown")
+
+    def __init__(self, text: str = "", start: int = 0):
+        low = text.lower()
+        self.n = len(text)
+        self.counts = Counter(text if text.isascii() else re.sub(r"[^\x00-\x7F]", _OTHER, text))
+        self.barred = any(p in low for p in PLACEHOLDERS) or re.search(r"\s", text) is not None
+        self.head, self.tail = low[:_EDGE], low[-_EDGE:]
+        self.parts: tuple = ((start, start + len(text)),) if text else ()
+        self.shown = False
+
+    def joined(self, other: Value) -> Value:
+        if not self.n or not other.n:
+            return self if self.n else other
+        both = Value()
+        both.n, both.counts = self.n + other.n, self.counts + other.counts
+        joint = self.tail + other.head
+        both.barred = self.barred or other.barred or any(p in joint for p in PLACEHOLDERS)
+        both.head = (self.head + other.head)[:_EDGE] if self.n < _EDGE else self.head
+        both.tail = (self.tail + other.tail)[-_EDGE:] if other.n < _EDGE else other.tail
+        both.parts = (self, other)
+        return both
+
+    def show(self, found: set[tuple[int, int]]) -> None:
+        """Adds the ranges of all literals; a part that has been shown has nothing to add."""
+        waiting = [self]
+        while waiting:
+            value = waiting.pop()
+            if value.shown:
+                continue
+            value.shown = True
+            for part in value.parts:
+                if isinstance(part, Value):
+                    waiting.append(part)
+                else:
+                    found.add(part)
+
+    def score(self) -> float:
+        """Entropy per character and kinds of characters; below zero for what can't be a secret."""
+        if self.n < LITERAL_LEAST or self.barred:
+            return -10.0
+        entropy = -sum(c / self.n * math.log2(c / self.n) for c in self.counts.values())
+        kinds = {"a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "-" for c in self.counts}
+        return entropy / 2 + 0.5 * (len(kinds) - 1) - 0.5
+
+
+def _value(text: str, at: int, known: dict[str, Value]) -> tuple[Value, int]:
+    """The value that starts at a position, and where it ends."""
+    value = Value()
     while True:
         if m := _LITERAL.match(text, at):
             group = 1 if m[1] is not None else 2
-            value += m[group]
-            ranges.append(m.span(group))
+            value = value.joined(Value(m[group], m.start(group)))
+        elif m := _BRACED.match(text, at):
+            value = value.joined(known.get(m[1], Value()))
         elif m := _BARE.match(text, at):
             word = m[0].rstrip(".")
             ref = _REFERENCE.fullmatch(word)
             if ref and ref[1] in known:
-                more, at_ranges = known[ref[1]]
-                value += more
-                ranges += at_ranges
+                value = value.joined(known[ref[1]])
             elif not word.startswith("$"):
-                value += word
-                ranges.append((m.start(), m.start() + len(word)))
+                value = value.joined(Value(word, m.start()))
         else:
-            return value, ranges, at
+            return value, at
         at = m.end()
         if not (m := _JOIN.match(text, at)):
-            return value, ranges, at
+            return value, at
         at = m.end()
 
 
 def named_spans(text: str) -> list[Span]:
     """Literals assigned, directly or through constants, to names that call for a secret."""
     found: set[tuple[int, int]] = set()
-    known: dict[str, tuple[str, list]] = {}
+    known: dict[str, Value] = {}
     at = 0
     while m := _PAIR.search(text, at):
-        value, ranges, at = _value(text, m.end(), known)
+        value, at = _value(text, m.end(), known)
         at = max(at, m.end())
-        if not ranges:
+        if not value.n:
             known.pop(m[2], None)
             continue
-        known[m[2]] = (value, ranges)
+        known[m[2]] = value
         named = name_score(m[2])
-        if named > 0 and named + literal_score(value) >= THRESHOLD:
-            found.update(r for r in ranges if r[0] < r[1])
+        if named > 0 and named + value.score() >= THRESHOLD:
+            value.show(found)
     return [("named", a, b) for a, b in sorted(found)]
 
 
@@ -135,7 +185,12 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     base = base_spans(text)
     if not (":" in text or "=" in text):
         return base, base
-    more = [s for s in named_spans(text) if not any(a <= s[1] and s[2] <= b for _, a, b in base)]
+    starts, ends = [s[1] for s in base], list(accumulate((s[2] for s in base), max))
+    more = []
+    for span in named_spans(text):
+        before = bisect_right(starts, span[1])
+        if not before or ends[before - 1] < span[2]:
+            more.append(span)
     return base, sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

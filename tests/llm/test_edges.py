@@ -160,6 +160,24 @@ def test_secrets(spark, docs, nobody):
     assert out.columns == docs.columns and {r["doc_id"]: r["text"] for r in out.collect()}[4] is None
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["signing_key" + " " * 9 + '= "Yt6r5E4w3Q2x9!"', "z" * 130 + "_signing_key = 'Yt6r5E4w3Q2x9!'", "signing_key" + "\t" * 5000 + ":" + " " * 5000 + "Yt6r5E4w3Q2x9!", "x = 'Yt6r5E4'\ny = x + 'w3Q2x9!'\nsigning_key => ${y}"],
+)
+def test_secrets_behind_long_names_and_gaps(text):
+    assert {k for k, _, _ in secrets.all_spans(text)[1]} == {"named"}
+
+
+def test_secrets_of_values_joined_over_and_over():
+    first = "a = 'Zq8xT4w9Pm'\n"
+    doubled = first + "a = a + a\n" * 100 + "signing_key = a\n"
+    assert secrets.all_spans(doubled)[1] == [("named", 5, 15)]
+    chain = first + "".join(f"a = a + 'p{i}Q'\nsigning_key = a\n" for i in range(20_000))
+    assert len(secrets.all_spans(chain)[1]) == 20_001
+    # a placeholder across joints
+    assert secrets.all_spans("a = 'Zq8xT4change'\nb = 'me7Rw'\nsigning_key = a + b\n")[1] == []
+
+
 @given(st.text(alphabet="pPaAsSwWoOrRdD_:='\" \nKIE0123456789abcdef+$(){}.", max_size=200))
 @settings(max_examples=200, deadline=None)
 def test_secrets_of_any_text(text):
