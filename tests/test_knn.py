@@ -3,8 +3,10 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from helpers import plan, rows
+from pyspark.sql import functions as F
 
 from forecourt.operators import knn
+from forecourt.session import materialise
 
 SCHEMA = "id BIGINT, lat DOUBLE, lon DOUBLE"
 
@@ -39,14 +41,14 @@ def sphere(rng, n, start=0):
 
 @pytest.mark.parametrize("k", [1, 4, 17])
 def test_random_points_on_the_whole_sphere(spark, k):
-    check(spark, sphere(np.random.default_rng(k), 400), k, tile_rows=64, bucket_rows=8)
+    check(spark, sphere(np.random.default_rng(k), 400), k, tile_rows=64, leaf_spots=8)
 
 
 def test_seam_and_poles(spark):
     rng = np.random.default_rng(1)
     seam = [(i, float(rng.uniform(-1, 1)), float(s * (180 - rng.uniform(0, 0.5)))) for i, s in enumerate([1, -1] * 60)]
     poles = [(200 + i, float(s * (90 - rng.uniform(0, 0.5))), float(rng.uniform(-180, 180))) for i, s in enumerate([1, -1] * 60)]
-    check(spark, seam + poles, 5, tile_rows=32, bucket_rows=4)
+    check(spark, seam + poles, 5, tile_rows=32, leaf_spots=4)
 
 
 def test_a_third_of_the_points_at_one_spot_and_a_third_in_one_street(spark):
@@ -55,8 +57,8 @@ def test_a_third_of_the_points_at_one_spot_and_a_third_in_one_street(spark):
     copies = [(1000 + i, 55.75, 37.61) for i in range(200)]
     street = [(2000 + i, 55.75 + float(rng.uniform(0, 1e-4)), 37.62 + float(rng.uniform(0, 1e-4))) for i in range(200)]
     data = spread + copies + street
-    check(spark, data, 6, tile_rows=64, bucket_rows=8)
-    check(spark, data, 6, include_self=False, tile_rows=64, bucket_rows=8)
+    check(spark, data, 6, tile_rows=64, leaf_spots=8)
+    check(spark, data, 6, include_self=False, tile_rows=64, leaf_spots=8)
 
 
 def test_points_within_a_finest_curve_cell(spark):
@@ -65,7 +67,7 @@ def test_points_within_a_finest_curve_cell(spark):
 
 
 def test_grid_of_ties(spark):
-    check(spark, [(i * 10 + j, float(i), float(j)) for i in range(10) for j in range(10)], 5, tile_rows=16, bucket_rows=4)
+    check(spark, [(i * 10 + j, float(i), float(j)) for i in range(10) for j in range(10)], 5, tile_rows=16, leaf_spots=4)
 
 
 def test_fewer_points_than_k(spark):
@@ -101,3 +103,41 @@ def test_only_equi_joins(spark):
     assert "WindowGroupLimit" in text
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython"):
         assert bad not in text
+
+
+def test_no_reach_is_the_whole_sphere(spark):
+    """Also where a tile has fewer spots than are wanted; tiles borrow from their neighbours."""
+    data = spark.createDataFrame(sphere(np.random.default_rng(7), 600), SCHEMA)
+    spots = knn._leaves(knn._spots(data, 40), 40, 16, 8)
+    assert spots.where("reach2 >= 3.9").count() == 0
+    check(spark, sphere(np.random.default_rng(7), 600), 40, tile_rows=16, leaf_spots=8)
+
+
+def test_leaves_are_small_and_disjoint(spark):
+    rng = np.random.default_rng(8)
+    town = [(i, 55.75 + float(rng.normal(0, 0.01)), 37.6 + float(rng.normal(0, 0.01))) for i in range(3000)]
+    data = spark.createDataFrame(town + sphere(rng, 300, 5000), SCHEMA)
+    leaves = knn._leaves(knn._spots(data, 5), 5, 256, 16)
+    cells = {(r["node"], r["level"]): r["n"] for r in leaves.groupBy("node", "level").agg(F.count("*").alias("n")).collect()}
+    assert max(cells.values()) <= 16 and sum(cells.values()) == 3300
+    nodes = {n for n, _ in cells}
+    assert not any(n >> 3 * up in nodes for n, level in cells for up in range(1, level))
+
+
+@pytest.mark.parametrize("town", [2000, 8000])
+def test_a_metropolis_and_isolated_points(spark, town):
+    """What a spot visits is bounded by a constant, whatever the size of the town beside it."""
+    rng = np.random.default_rng(town)
+    inside = [(i, 55.75 + float(rng.normal(0, 0.02)), 37.6 + float(rng.normal(0, 0.02))) for i in range(town)]
+    alone = sphere(rng, 200, 100_000)
+    points = spark.createDataFrame(inside + alone, SCHEMA)
+    data = materialise(knn._leaves(knn._spots(points, 5), 5, 512, 16), "test-spots")
+    tree = materialise(knn._tree(data), "test-tree")
+    rows = data.select("spot", "lat", "lon", *knn.AXES, "reach2", F.lit(4.0).alias("max2"), F.lit(0.0).alias("min2"), F.lit(0).cast("bigint").alias("n"),
+                       knn._above(F.col("node"), F.col("level")).alias("node"), F.lit(0).cast("bigint").alias("part"), F.lit(True).alias("open"))
+    for _ in range(0, tree.agg(F.max("level")).first()[0], knn.STRIDE):
+        rows = knn._descend(rows, tree, 5)
+    visits = rows.groupBy("spot").agg(F.count("*").alias("leaves"), F.sum("n").alias("spots")).agg(F.max("leaves"), F.max("spots"), F.avg("spots")).first()
+    assert visits[0] <= 40 and visits[1] <= 400 and visits[2] <= 120
+    if town == 2000:
+        check(spark, inside + alone, 5, tile_rows=512, leaf_spots=16)

@@ -464,14 +464,19 @@ def haversine(spark, sf):
     return here.join(there, F.col("id") + 1 == F.col("next_id")).select("id", "next_id", F.round(km, 6).alias("km"))
 
 
+def to_a_millimetre(pairs):
+    """Doubles of two engines agree to their last digits only."""
+    return pairs.withColumn(knn.DISTANCE, F.round(F.col(f"`{knn.DISTANCE}`"), knn.DISTANCE_DIGITS))
+
+
 @query
 def knn_pairs(spark, sf):
-    return knn.knn_pairs(points(spark, sf), K)
+    return to_a_millimetre(knn.knn_pairs(points(spark, sf), K))
 
 
 @query
 def knn_long(spark, sf):
-    return knn.wide_to_long(knn.long_to_wide(knn.knn_pairs(points(spark, sf), 3)))
+    return to_a_millimetre(knn.wide_to_long(knn.long_to_wide(knn.knn_pairs(points(spark, sf), 3))))
 
 
 @query
@@ -489,7 +494,7 @@ def competitor_sequence(spark, sf):
 
 @query
 def competitor_enrich(spark, sf):
-    return nearest.enriched_pairs(fx.station_tables(spark, sf), K)
+    return to_a_millimetre(nearest.enriched_pairs(fx.station_tables(spark, sf), K))
 
 
 @query
@@ -505,7 +510,7 @@ def best_price_class(spark, sf):
 
 @query
 def nearest_competitors(spark, sf):
-    return nearest.nearest_competitors(fx.station_tables(spark, sf), K, AS_OF)
+    return to_a_millimetre(nearest.nearest_competitors(fx.station_tables(spark, sf), K, AS_OF))
 
 
 # --- registry --------------------------------------------------------------------------
