@@ -9,7 +9,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from forecourt.session import local_session  # noqa: E402
+from forecourt.session import local_session, remove_runs  # noqa: E402
 from workload.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
@@ -46,6 +46,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        remove_runs(spark)
         print(name, seconds[name], file=sys.stderr)
     scale = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     total = round(sum(seconds.values()), 3)

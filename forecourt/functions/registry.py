@@ -20,6 +20,22 @@ def path_or_default(record: Column, path: str, default: str | None = "") -> Colu
     return F.when(node.isNull(), F.lit(default)).otherwise(F.try_variant_get(record, path, "string"))
 
 
+def list_text(record: Column, path: str, default: str | None = "", between: str = ", ") -> Column:
+    """As ``path_or_default``, but a list gives the texts of its entries in order, joined.
+
+    An entry that is an object gives its field ``value``; entries that are null or have no text are left out, so
+    a list without any gives ''.
+    """
+    items = F.try_variant_get(record, path, "array<variant>")
+
+    def text(item: Column) -> Column:
+        own, inner = (F.try_variant_get(item, at, "string") for at in ("$", "$.value"))
+        return F.when(F.schema_of_variant(item).startswith("OBJECT"), inner).otherwise(own)
+
+    texts = F.filter(F.transform(items, text), lambda t: t.isNotNull())
+    return F.when(items.isNotNull(), F.array_join(texts, between)).otherwise(path_or_default(record, path, default))
+
+
 def epoch_text(millis: Column) -> Column:
     """Epoch milliseconds given as text, as UTC date and time text.
 

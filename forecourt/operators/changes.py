@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt import refdata
@@ -218,14 +218,15 @@ def apply_changes(
     return result.select(*(written[c].alias(c) if c in written else F.col(c) for c in table.columns))
 
 
-def change_text(changes: DataFrame) -> DataFrame:
-    """One line of text per change, for a report."""
+def change_text(changes: DataFrame, *kept: str) -> DataFrame:
+    """One line of text per change, for a report: rule, the columns to keep, line."""
 
     def condition(name: str, template: str) -> Column:
         return F.when(F.col(name).isNotNull(), F.format_string(template, F.col(name).cast("string")))
 
     return changes.select(
         "rule",
+        *kept,
         F.concat_ws(
             " and ",
             condition("station_id", "station_id = %s"),
@@ -236,3 +237,18 @@ def change_text(changes: DataFrame) -> DataFrame:
             condition("only_flag", "show_in_report = '%s'"),
         ).alias("line"),
     )
+
+
+def change_report(changes: DataFrame, lines: int = 50, between: str = "; ") -> DataFrame:
+    """(rule, station_id, part, changes, text): the lines of a rule about a station in order, joined.
+
+    A text has ``lines`` lines at most; longer reports go on in the next part (from 0), so no text
+    grows with the number of changes and no line is lost.
+    """
+    order = Window.partitionBy("rule", "station_id").orderBy("line")
+    each = change_text(changes, "station_id").withColumn("place", F.row_number().over(order) - 1)
+    part = F.floor(F.col("place") / lines).cast("int").alias("part")
+    in_order = F.array_sort(F.collect_list(F.struct("place", "line")))
+    return each.groupBy("rule", "station_id", part).agg(
+        F.count(F.lit(1)).alias("changes"), F.array_join(F.transform(in_order, lambda x: x["line"]), between).alias("text")
+    )

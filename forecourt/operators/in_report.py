@@ -14,6 +14,10 @@ from forecourt.operators.changes import change
 from forecourt.operators.summary import PRODUCT_KEY, SOURCE_KEY, source_summary
 
 
+# prices are equal to the kopeck
+PRICE_KIND = "decimal(20, 2)"
+
+
 def only_source(per_source: DataFrame) -> DataFrame:
     """(station, source) of the only source shown, where it also has new hidden prices.
     From ``source_summary``."""
@@ -84,7 +88,7 @@ def _equivalents(candidates: DataFrame, shown: DataFrame, groups, how: str) -> D
         (F.col("station_id") == F.col("twin_station"))
         & (F.col("source") == F.col("twin_source"))
         & (F.col("fuel") == F.col("twin_group"))
-        & (F.round("new_price", 2) == F.round("twin_price", 2))
+        & (F.col("new_price").try_cast(PRICE_KIND) == F.col("twin_price").try_cast(PRICE_KIND))
         & (F.col("product_id") != F.col("twin_product"))
     )
     tagged = candidates.withColumn("fuel", equivalence_group(F.col("product_id"), groups))

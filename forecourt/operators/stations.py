@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from forecourt import refdata
@@ -24,25 +24,35 @@ def located_stations(
     return active.join(parts, "gs_id", "left").where(F.col("lat_text").isNotNull() & (F.col("lon_text") != ""))
 
 
-def station_points(
+def located_points(
     stations: DataFrame, addresses: DataFrame, statuses: Iterable[str] = refdata.ACTIVE_STATUSES
 ) -> DataFrame:
-    """(id, lat, lon) in degrees. Coordinates that are no numbers are left out; see
-    ``malformed_points``."""
-    lat, lon = F.col("lat_text").try_cast("double"), F.col("lon_text").try_cast("double")
-    return (
-        located_stations(stations, addresses, statuses)
-        .select(F.col("gs_id").alias("id"), lat.alias("lat"), lon.alias("lon"))
-        .where(text.is_finite(F.col("lat")) & text.is_finite(F.col("lon")))
+    """``located_stations`` with lat and lon in degrees, and whether both are finite numbers (good)."""
+    lat, lon = (text.number_or_null(F.col(c)) for c in ("lat_text", "lon_text"))
+    return located_stations(stations, addresses, statuses).select("*", lat.alias("lat"), lon.alias("lon")).withColumn(
+        "good", F.col("lat").isNotNull() & F.col("lon").isNotNull()
     )
 
 
+def station_points(
+    stations: DataFrame,
+    addresses: DataFrame,
+    statuses: Iterable[str] = refdata.ACTIVE_STATUSES,
+    counts: Observation | None = None,
+) -> DataFrame:
+    """(id, lat, lon) in degrees. Coordinates that are no finite numbers are left out; the pass that
+    does so also fills ``counts``: located, malformed. ``malformed_points`` lists them."""
+    points = located_points(stations, addresses, statuses)
+    if counts is not None:
+        points = points.observe(counts, F.count(F.lit(1)).alias("located"), F.count_if(~F.col("good")).alias("malformed"))
+    return points.where("good").select(F.col("gs_id").alias("id"), "lat", "lon")
+
+
 def malformed_points(
     stations: DataFrame, addresses: DataFrame, statuses: Iterable[str] = refdata.ACTIVE_STATUSES
 ) -> DataFrame:
     """Rows that ``station_points`` leaves out because a coordinate is no number."""
-    bad = text.number_or_null(F.col("lat_text")).isNull() | text.number_or_null(F.col("lon_text")).isNull()
-    return located_stations(stations, addresses, statuses).where(bad)
+    return located_points(stations, addresses, statuses).where("not good").select("gs_id", "lat_text", "lon_text")
 
 
 def station_directory(

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from forecourt.operators.registry import registry_flatten, registry_lookup
 from forecourt.sources.sinks import write_run
 
 
-def company_table(ids: DataFrame, registry: DataFrame, mode: str = "strict") -> DataFrame:
-    return registry_flatten(registry_lookup(ids, registry), mode)
+def company_table(
+    ids: DataFrame, registry: DataFrame, mode: str = "strict", counts: Observation | None = None
+) -> DataFrame:
+    return registry_flatten(registry_lookup(ids, registry), mode, counts)
 
 
 def write_company_table(

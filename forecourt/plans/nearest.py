@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from forecourt.operators import competitors, knn, stations
-from forecourt.session import materialise
+from forecourt.session import materialise, run_folder
 
 
 @dataclass(frozen=True)
@@ -23,12 +23,16 @@ class StationTables:
 
 def enriched_pairs(tables: StationTables, k: int) -> DataFrame:
     """Neighbour pairs with both ends' data. The directory is joined twice, so it is written
-    once; Spark then broadcasts it if it is small."""
-    points = stations.station_points(tables.stations, tables.addresses)
-    directory = materialise(
-        stations.station_directory(tables.stations, tables.addresses, tables.brands, tables.regions), "directory"
-    )
-    return competitors.competitor_enrich(knn.knn_pairs(points, k), directory)
+    once; Spark then broadcasts it if it is small.
+
+    What is written on the way is kept until ``session.remove_runs``, or goes to the caller's ``run_folder``.
+    """
+    with run_folder(tables.stations.sparkSession, keep=True):
+        points = stations.station_points(tables.stations, tables.addresses)
+        directory = materialise(
+            stations.station_directory(tables.stations, tables.addresses, tables.brands, tables.regions), "directory"
+        )
+        return competitors.competitor_enrich(knn.knn_pairs(points, k), directory)
 
 
 def nearest_competitors(tables: StationTables, k: int, as_of: date) -> DataFrame:

@@ -12,7 +12,7 @@ from forecourt import refdata
 from forecourt.functions.prices import day
 from forecourt.operators import activation, expiry, extract, in_report, replacement, summary
 from forecourt.operators.changes import apply_changes, union_all
-from forecourt.session import materialise
+from forecourt.session import materialise, run_folder
 
 WORKING_COLUMNS = ["station_id", "product_id", "price", "source", "show_in_report", "updated_at"]
 
@@ -126,5 +126,9 @@ def visibility_changes(tables: PriceTables, as_of: date) -> DataFrame:
 
 
 def price_visibility(tables: PriceTables, as_of: date) -> DataFrame:
-    """The price table after one run: a single pass over it with the changes of all stages."""
-    return apply_changes(tables.prices, visibility_changes(tables, as_of))
+    """The price table after one run: a single pass over it with the changes of all stages.
+
+    What is written on the way is kept until ``session.remove_runs``, or goes to the caller's ``run_folder``.
+    """
+    with run_folder(tables.prices.sparkSession, keep=True):
+        return apply_changes(tables.prices, visibility_changes(tables, as_of))

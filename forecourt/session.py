@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +22,8 @@ RUNTIME_SETTINGS = {
 
 
 _LOCAL_FOLDERS: dict[str, str] = {}
-_RUNS: list[str] = []
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+_KEPT: list[str] = []
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -63,20 +65,38 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[master]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @contextmanager
-def run_folder(spark: SparkSession) -> Iterator[str]:
+def run_folder(spark: SparkSession, keep: bool = False) -> Iterator[str]:
     """Intermediate tables written inside the block go to one folder, removed at its end.
 
-    Store the result before leaving the block: frames built in it read that folder.
+    Store the result before leaving the block: frames built in it read that folder. With ``keep`` the folder
+    stays for frames that are still to be read, until ``remove_runs``. Inside another run the tables go to
+    that run's folder and stay until it ends.
     """
+    if _RUN.get():
+        yield _RUN.get()
+        return
     path = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
-    _RUNS.append(path)
+    token = _RUN.set(path)
     try:
         yield path
     finally:
-        _RUNS.remove(path)
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _RUN.reset(token)
+        if keep:
+            _KEPT.append(path)
+        else:
+            _delete(spark, path)
+
+
+def remove_runs(spark: SparkSession) -> None:
+    """Remove the folders of all kept runs; frames built in them can't be read any more."""
+    while _KEPT:
+        _delete(spark, _KEPT.pop())
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -86,6 +106,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     real size, so that Spark broadcasts it only when it is under the session's threshold.
     """
     spark = df.sparkSession
-    path = f"{_RUNS[-1] if _RUNS else shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_RUN.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

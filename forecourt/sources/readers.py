@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 
 POINT_SCHEMA = "id BIGINT, lat DOUBLE, lon DOUBLE"
@@ -48,11 +48,36 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("itn"))
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """(id, lat, lon) from semicolon-separated lines without a header."""
-    return spark.read.csv(path, sep=";", schema=POINT_SCHEMA, encoding="UTF-8")
+def scan_points(spark: SparkSession, path: str) -> DataFrame:
+    """(id, lat, lon, broken) of every line ``id;lat;lon`` of a file without a header.
+
+    ``broken`` holds a line that is no such record (another number of fields, an id or coordinate that is missing,
+    no number, not finite or off the globe); its other columns are NULL. It is NULL for the good ones. Blank lines count as broken.
+    """
+    options = {"sep": ";", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
+    lines = spark.read.text(path)
+    record = lines.select("value", F.from_csv("value", F.lit(f"{POINT_SCHEMA}, broken STRING"), options).alias("r"))
+    on_globe = F.abs("r.lat") <= 90, F.abs("r.lon") <= 180  # NaN is greater than any number
+    good = F.col("r.broken").isNull() & F.col("r.id").isNotNull() & F.coalesce(on_globe[0] & on_globe[1], F.lit(False))
+    return record.select(
+        *(F.when(good, F.col(f"r.{c}")).alias(c) for c in ("id", "lat", "lon")), F.when(~good, F.col("value")).alias("broken")
+    )
+
+
+def read_points(spark: SparkSession, path: str, counts: Observation | None = None) -> DataFrame:
+    """(id, lat, lon) of the good lines of a file, see ``scan_points``.
+
+    The pass that reads them also fills ``counts``: lines, broken.
+    """
+    found = scan_points(spark, path)
+    if counts is not None:
+        found = found.observe(counts, F.count(F.lit(1)).alias("lines"), F.count("broken").alias("broken"))
+    return found.where(F.col("broken").isNull()).select("id", "lat", "lon")
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """(itn, payload) from JSON lines; the payload stays text until it is needed."""
-    return spark.read.schema("itn STRING, payload STRING").json(path)
+    """(itn, payload, loaded) from JSON lines; the payload stays text until it is needed.
+
+    ``loaded`` is the number of the load that brought the record, NULL where a line has none.
+    """
+    return spark.read.schema("itn STRING, payload STRING, loaded BIGINT").json(path)

@@ -7,7 +7,7 @@ from helpers import AS_OF, TABLE, ago, rows, snapshot, table
 from pyspark.sql import functions as F
 
 from forecourt.operators import expiry
-from forecourt.operators.changes import CHANGE_SCHEMA, apply_changes, change, change_text, union_all
+from forecourt.operators.changes import CHANGE_SCHEMA, apply_changes, change, change_report, change_text, union_all
 
 
 def changes(spark, *data):
@@ -158,3 +158,21 @@ def test_both_ways_agree(spark):
     assert direct.where("updated_by_id = 1").count() > 5
     with pytest.raises(ValueError, match="not applied"):
         apply_changes(prices, some, grains=("source",), broadcast_rows=0)
+
+
+def test_reports_join_lines_in_bounded_texts(spark):
+    some = changes(
+        spark,
+        *[("off_out_of_bounds", 1, "a", p, None, None, None, "f") for p in range(7)],
+        ("on_benzuber", 1, "a", None, None, None, None, "t"),
+        ("on_benzuber", 2, None, None, None, None, None, "t"),
+    )
+    lines = sorted(f"station_id = 1 and source = 'a' and product_id = {p}" for p in range(7))
+    assert rows(change_report(some, 3)) == [
+        ("off_out_of_bounds", 1, 0, 3, "; ".join(lines[:3])),
+        ("off_out_of_bounds", 1, 1, 3, "; ".join(lines[3:6])),
+        ("off_out_of_bounds", 1, 2, 1, lines[6]),
+        ("on_benzuber", 1, 0, 1, "station_id = 1 and source = 'a'"),
+        ("on_benzuber", 2, 0, 1, "station_id = 2"),
+    ]
+    assert rows(change_report(some.limit(0))) == []

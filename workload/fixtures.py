@@ -197,3 +197,40 @@ def company_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
         "CAST(o_custkey + o_orderkey % 3 * 1000 AS STRING) AS itn"
     )
+
+
+def registry_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of three loads: the second replaces every record by a smaller text, with lists of contacts in all
+    shapes and some texts that are no JSON; the third brings some of the first ones back."""
+    first = registry(spark, sf_dir).selectExpr("itn", "payload", "1L AS loaded")
+    second = table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS itn",
+        """CASE WHEN c_custkey % 13 = 0 THEN '[{"broken"' ELSE concat('[{"data":{"phones":',
+             CASE c_custkey % 6 WHEN 0 THEN 'null' WHEN 1 THEN '[]' WHEN 2 THEN '["+7 1", "+7 2"]'
+               WHEN 3 THEN '[{"value":"+7 3","kind":"work"},{"value":null},null,{"value":"+7 4"}]'
+               WHEN 4 THEN '"+7 5"' ELSE '[7]' END,
+             CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN ',"emails":[{"value":"a@b.c"},"d@e.f"]'
+               ELSE ',"emails":["only@one.x"]' END,
+             ',"okved":', CASE c_custkey % 2 WHEN 0 THEN '["1.1","1.2"]' ELSE '"2"' END,
+             ',"kpp":', CASE c_custkey % 3 WHEN 0 THEN '["k1"]' WHEN 1 THEN '770101' ELSE 'null' END,
+             '},"value":"later"}]') END AS payload""",
+        "2L AS loaded",
+    )
+    return first.union(second).union(first.where("itn % 10 = 0").selectExpr("itn", "payload", "3L"))
+
+
+def point_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a coordinate file, a part of them broken in one of several ways."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        """CASE c_custkey % 20 WHEN 0 THEN concat('x', c_custkey, ';1.5;2.5') WHEN 1 THEN concat(c_custkey, ';1.5')
+             WHEN 2 THEN concat(c_custkey, ';1.5;2.5;3.5') WHEN 3 THEN concat(c_custkey, ';north;2.5')
+             WHEN 4 THEN concat(c_custkey, ';;2.5') WHEN 5 THEN concat(c_custkey, ';NaN;2.5')
+             WHEN 6 THEN concat(c_custkey, ';91.5;2.5') WHEN 7 THEN concat(c_custkey, ';1.5;-181.25')
+             ELSE concat(c_custkey, ';', c_custkey % 90, '.25;-', c_custkey % 180, '.5') END AS value"""
+    )
+
+
+def broken_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses, a part of them with coordinates that are no numbers."""
+    broken = "CASE WHEN gs_id % 7 = 0 THEN 'north, 30.5' WHEN gs_id % 11 = 0 THEN '55.5 30.5' WHEN gs_id % 13 = 0 THEN '50.5, Infinity' ELSE gps_var END"
+    return addresses(spark, sf_dir).selectExpr("*", f"{broken} AS gps_new").drop("gps_var").withColumnRenamed("gps_new", "gps_var")

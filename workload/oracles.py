@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 D = "DATE '2024-01-31'"
+# The lists, limits, ranks and product groups below must equal the library's defaults.
 TRUSTED = (
     "('api_azsgo','api_azsopti','api_yandex_fuel','api_benzuber','api_yandex_other','manual_app','manual_manual',"
     "'manual_ppr','manual_gazprom','api_licard','api_gpn','api_lukoil','api_sng')"
@@ -107,9 +108,11 @@ SELECT id, CASE WHEN right(a, 1) = ',' THEN left(a, length(a) - 1) ELSE a END AS
   CASE WHEN coalesce(locality, '') = '' THEN '' ELSE locality || ', ' END ||
   CASE WHEN coalesce(street, '') = '' THEN '' ELSE street || ', ' END ||
   coalesce(building, '')) AS a FROM geo)"""
+CTES["type_class"] = """
+SELECT * FROM (VALUES ('АЗС', 1), ('АЗК', 1), ('АГЗС', 2), ('АГНКС', 2), ('МАГЗС', 2), ('КриоАЗС', 2), ('МАЗК', 3),
+ ('МАЗС', 3)) AS t(named, class)"""
 CTES["cls"] = """
-SELECT id, type, CAST(CASE WHEN type IN ('АЗС', 'АЗК') THEN 1 WHEN type IN ('АГЗС', 'АГНКС', 'МАГЗС', 'КриоАЗС') THEN 2
- WHEN type IN ('МАЗК', 'МАЗС') THEN 3 ELSE 0 END AS INTEGER) AS class FROM geo"""
+SELECT id, type, coalesce(class, 0) AS class FROM geo LEFT JOIN type_class ON named = type"""
 CTES["dir"] = f"""
 SELECT geo.id AS id_parcon, owner_type AS type_1, geo.type AS type_azs, class AS "check", b1.n_name AS brand,
  b2.n_name AS affilation, owner_number AS number, status_gs AS status, r_name AS region, address, gps_var AS gps
@@ -127,11 +130,13 @@ CTES["classed"] = """
 SELECT point1, point2, rank, a.class AS client_check, b.class AS comp_check
 FROM near JOIN cls a ON a.id = point1 JOIN cls b ON b.id = point2
 WHERE (a.class = 1 AND b.class IN (1, 3)) OR (a.class = 2 AND b.class IN (2, 3)) OR (a.class = 3 AND b.class IN (1, 2, 3))"""
+CTES["source_class"] = "\nUNION ALL ".join(
+    f"SELECT unnest({names.replace('(', '[').replace(')', ']')}) AS named, {number} AS class"
+    for number, names in enumerate((MANUAL, AUTOMATIC, OTHER))
+)
 CTES["psrc"] = f"""
-SELECT DISTINCT o_custkey AS parcon_id, source,
- CAST(CASE WHEN source IN {AUTOMATIC} THEN 1 WHEN source IN {OTHER} THEN 2 ELSE 0 END AS INTEGER) AS type_source
-FROM obs JOIN orders ON o_orderkey = station_id
-WHERE date_upd = {D} AND (source IN {AUTOMATIC} OR source IN {OTHER} OR source IN {MANUAL})"""
+SELECT DISTINCT o_custkey AS parcon_id, source, class AS type_source
+FROM obs JOIN orders ON o_orderkey = station_id JOIN source_class ON named = source WHERE date_upd = {D}"""
 CTES["bestclass"] = """
 SELECT parcon_id, type_source, source_count FROM (
  SELECT parcon_id, type_source, count(*) AS source_count,
@@ -152,6 +157,14 @@ SELECT itn, CASE WHEN NOT found THEN '[]' ELSE '[{"value":"' || name || '","data
   ELSE 'REORGANIZING' END || '"' ||
  CASE WHEN millis IS NULL THEN '' ELSE ',"actuality_date":' || CAST(millis AS VARCHAR) END ||
  '},"okved":"' || CAST(n % 99 AS VARCHAR) || '"}}]' END AS payload FROM reg"""
+CTES["latest"] = """
+SELECT reg.*, n % 13 = 0 AS broken, n % 10 = 0 AS again, CASE WHEN n % 10 = 0 THEN payload WHEN n % 13 = 0 THEN '[{"broken"' ELSE
+ '[{"data":{"phones":' || CASE n % 6 WHEN 0 THEN 'null' WHEN 1 THEN '[]' WHEN 2 THEN '["+7 1", "+7 2"]'
+  WHEN 3 THEN '[{"value":"+7 3","kind":"work"},{"value":null},null,{"value":"+7 4"}]' WHEN 4 THEN '"+7 5"' ELSE '[7]' END ||
+ CASE n % 4 WHEN 0 THEN '' WHEN 1 THEN ',"emails":[{"value":"a@b.c"},"d@e.f"]' ELSE ',"emails":["only@one.x"]' END ||
+ ',"okved":' || CASE n % 2 WHEN 0 THEN '["1.1","1.2"]' ELSE '"2"' END ||
+ ',"kpp":' || CASE n % 3 WHEN 0 THEN '["k1"]' WHEN 1 THEN '770101' ELSE 'null' END || '},"value":"later"}]' END AS payload
+FROM reg JOIN payloads USING (itn)"""
 CTES["ids"] = "SELECT CAST(o_custkey + o_orderkey % 3 * 1000 AS VARCHAR) AS itn FROM orders"
 CTES["company"] = """
 SELECT i.itn, CASE WHEN found THEN name ELSE '' END AS name,
@@ -370,13 +383,16 @@ FROM {before} t LEFT JOIN {after}_hits h ON h.station_id = t.station_id AND h.pr
  AND h.source = t.source"""
 
 
+CTES["scope"] = """
+SELECT o_orderkey AS station_id FROM orders WHERE o_orderkey % 100 <= 85
+EXCEPT SELECT station_id FROM protected"""
+CTES["oldest"] = f"SELECT * FROM (VALUES ('t', {D} - 60), ('f', {D} - 21)) AS t(flag, oldest)"
+
+
 def extract_sql(table: str) -> str:
     return f"""
-SELECT o.station_id, o.product_id, o.price, o.source, CASE WHEN o.show_in_report = 't' THEN 't' ELSE 'f' END AS show_in_report,
- o.date_upd FROM {table} o LEFT JOIN orders gs ON gs.o_orderkey = o.station_id
-WHERE NOT EXISTS (SELECT 1 FROM protected p WHERE p.station_id = o.station_id)
- AND ((o.show_in_report = 't' AND o.updated_at > {D} - 60) OR (o.show_in_report = 'f' AND o.updated_at > {D} - 21))
- AND gs.o_orderkey % 100 < 86"""
+SELECT station_id, product_id, price, source, flag AS show_in_report, date_upd
+FROM {table} JOIN scope USING (station_id) JOIN oldest ON flag = show_in_report AND updated_at > oldest"""
 
 
 # rules on the initial table
@@ -415,6 +431,13 @@ def sql(body: str) -> str:
     return f"WITH {ctes}\n{body}" if needed else body
 
 
+CTES["lines"] = """
+SELECT rule, station_id, 'station_id = ' || station_id
+ || CASE WHEN source IS NULL THEN '' ELSE ' and source = ''' || source || '''' END
+ || CASE WHEN product_id IS NULL THEN '' ELSE ' and product_id = ' || product_id END
+ || CASE WHEN from_date IS NULL THEN '' ELSE ' and updated_at >= ' || from_date END
+ || CASE WHEN to_date IS NULL THEN '' ELSE ' and updated_at < ' || to_date END
+ || CASE WHEN only_flag IS NULL THEN '' ELSE ' and show_in_report = ''' || only_flag || '''' END AS line FROM everything"""
 CHANGE_COLUMNS = "rule, station_id, source, product_id, from_date, to_date, only_flag, new_flag"
 BODIES = {
     "scan_directory": f"SELECT id AS gs_id, owner_type, type, status_gs, owner_number FROM geo WHERE status_gs IN {ACTIVE}",
@@ -463,12 +486,11 @@ BODIES = {
     "count_race": "SELECT * FROM race",
     "out_of_bounds": "SELECT * FROM bounds",
     "diesel_duplicates": "SELECT * FROM diesel",
-    "report_text": """SELECT rule, 'station_id = ' || station_id
- || CASE WHEN source IS NULL THEN '' ELSE ' and source = ''' || source || '''' END
- || CASE WHEN product_id IS NULL THEN '' ELSE ' and product_id = ' || product_id END
- || CASE WHEN from_date IS NULL THEN '' ELSE ' and updated_at >= ' || from_date END
- || CASE WHEN to_date IS NULL THEN '' ELSE ' and updated_at < ' || to_date END
- || CASE WHEN only_flag IS NULL THEN '' ELSE ' and show_in_report = ''' || only_flag || '''' END AS line FROM everything""",
+    "report_lines": "SELECT rule, line FROM lines",
+    "report_text": """SELECT rule, station_id, CAST(place // 3 AS INTEGER) AS part, count(*) AS changes,
+ string_agg(line, '; ' ORDER BY place) AS text FROM (
+ SELECT *, ROW_NUMBER() OVER (PARTITION BY rule, station_id ORDER BY line) - 1 AS place FROM lines)
+ GROUP BY rule, station_id, place // 3""",
     "apply_changes": "SELECT station_id, product_id, source, show_in_report, updated_by_id FROM applied",
     "apply_no_changes": "SELECT station_id, product_id, source, show_in_report, updated_by_id FROM obs",
     "price_visibility": "SELECT station_id, product_id, source, price, show_in_report, updated_by_id FROM table4",
@@ -510,6 +532,31 @@ BODIES = {
  LEFT JOIN payloads p ON p.itn = i.itn""",
     "registry_flatten": "SELECT * FROM company",
     "registry_sink": "SELECT itn, name, type, status_itn FROM company",
+    "table_sink": 'SELECT * FROM dir WHERE "check" > 0',
+    "scan_points": """SELECT CASE WHEN good THEN c_custkey END AS id,
+ CASE WHEN good THEN c_custkey % 90 + 0.25::DOUBLE END AS lat, CASE WHEN good THEN -(c_custkey % 180 + 0.5::DOUBLE) END AS lon,
+ CASE c_custkey % 20 WHEN 0 THEN 'x' || c_custkey || ';1.5;2.5' WHEN 1 THEN c_custkey || ';1.5' WHEN 2 THEN c_custkey || ';1.5;2.5;3.5'
+  WHEN 3 THEN c_custkey || ';north;2.5' WHEN 4 THEN c_custkey || ';;2.5' WHEN 5 THEN c_custkey || ';NaN;2.5'
+  WHEN 6 THEN c_custkey || ';91.5;2.5' WHEN 7 THEN c_custkey || ';1.5;-181.25' END AS broken
+ FROM (SELECT c_custkey, c_custkey % 20 >= 8 AS good FROM customer)""",
+    "point_counts": f"""SELECT count(*) AS located, count(*) FILTER (WHERE bad) AS malformed, count(*) FILTER (WHERE NOT bad) AS kept
+ FROM (SELECT id % 7 = 0 OR id % 11 = 0 OR id % 13 = 0 AS bad, * FROM geo)
+ WHERE status_gs IN {ACTIVE} AND (bad OR gps_var <> '')""",
+    "registry_last": """SELECT i.itn, payload FROM (SELECT DISTINCT itn FROM ids) i LEFT JOIN latest l ON l.itn = i.itn""",
+    "registry_contacts": """SELECT i.itn,
+ CASE WHEN l.itn IS NULL THEN '' WHEN again THEN CASE WHEN found THEN name ELSE '' END WHEN broken THEN '' ELSE 'later' END AS name,
+ CASE WHEN l.itn IS NULL THEN '' WHEN again THEN CASE WHEN NOT found THEN '' END WHEN broken THEN '' ELSE
+  CASE n % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '+7 1, +7 2' WHEN 3 THEN '+7 3, +7 4' WHEN 4 THEN '+7 5' ELSE '7' END
+  END AS phone,
+ CASE WHEN l.itn IS NULL OR again OR broken OR n % 4 = 0 THEN '' WHEN n % 4 = 1 THEN 'a@b.c, d@e.f' ELSE 'only@one.x' END AS email,
+ CASE WHEN l.itn IS NULL THEN '' WHEN again THEN CASE WHEN found THEN CAST(n % 99 AS VARCHAR) ELSE '' END WHEN broken THEN ''
+  WHEN n % 2 = 0 THEN '1.1, 1.2' ELSE '2' END AS okved,
+ CASE WHEN l.itn IS NULL OR again OR broken THEN '' WHEN n % 3 = 0 THEN 'k1' WHEN n % 3 = 1 THEN '770101' END AS kpp
+ FROM (SELECT DISTINCT itn FROM ids) i LEFT JOIN latest l ON l.itn = i.itn""",
+    "registry_counts": """SELECT count(*) AS ids, count(*) FILTER (WHERE l.itn IS NULL) AS missing,
+ count(*) FILTER (WHERE NOT again AND broken) AS malformed,
+ count(*) FILTER (WHERE l.itn IS NOT NULL AND CASE WHEN again THEN found ELSE NOT broken END) AS named
+ FROM (SELECT DISTINCT itn FROM ids) i LEFT JOIN latest l ON l.itn = i.itn""",
     "json_path_default": """SELECT itn, CASE WHEN found THEN name ELSE '' END AS name,
  CASE WHEN found THEN NULL ELSE '' END AS phones, 'none' AS emails,
  CASE WHEN found AND person AND n % 2 = 0 THEN 'P' ELSE '' END AS patronymic,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt import refdata
@@ -25,8 +25,10 @@ from forecourt.operators import (
     summary,
 )
 from forecourt.plans import enrichment, nearest, visibility
-from forecourt.session import materialise, shared_folder, tune
+from forecourt.session import materialise, run_folder, tune
 from forecourt.sources.readers import read_ids
+from forecourt.sources.readers import scan_points as read_point_lines
+from forecourt.sources.sinks import write_table
 from workload import fixtures as fx
 from workload.fixtures import AS_OF
 
@@ -37,7 +39,9 @@ K = 5
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(tune(spark), str(sf_dir))
+        # intermediate tables of a query share a folder; session.remove_runs removes it
+        with run_folder(spark, keep=True):
+            return build(tune(spark), str(sf_dir))
 
     run.__name__, run.__doc__ = build.__name__, build.__doc__
     QUERIES[build.__name__] = run
@@ -121,11 +125,31 @@ def dim_limits(spark, sf):
 
 @query
 def id_list(spark, sf):
-    path = f"{shared_folder(spark)}/ids-{uuid.uuid4().hex}"
+    with run_folder(spark) as folder:
+        path = f"{folder}/ids"
     fx.company_ids(spark, sf).write.text(path)
     return read_ids(spark, path).groupBy("itn").agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query
+def scan_points(spark, sf):
+    """A coordinate file with some broken lines."""
+    with run_folder(spark) as folder:
+        path = f"{folder}/points"
+    fx.point_lines(spark, sf).write.text(path)
+    return read_point_lines(spark, path)
+
+
+@query
+def point_counts(spark, sf):
+    """Counts filled by the pass that reads the good points."""
+    counts = Observation("points")
+    used = stations.station_points(fx.gas_stations(spark, sf), fx.broken_addresses(spark, sf), counts=counts)
+    kept = used.agg(F.count(F.lit(1)).alias("kept")).first()["kept"]
+    found = counts.get
+    return spark.createDataFrame([(found["located"], found["malformed"], kept)], "located bigint, malformed bigint, kept bigint")
+
+
 # --- extraction ------------------------------------------------------------------------
 
 
@@ -379,10 +403,16 @@ def off_old_diesel(spark, sf):
 
 
 @query
-def report_text(spark, sf):
+def report_lines(spark, sf):
     return changes.change_text(all_changes(spark, sf))
 
 
+@query
+def report_text(spark, sf):
+    """The lines of every rule about a station, joined, three at most in a text."""
+    return changes.change_report(all_changes(spark, sf), lines=3)
+
+
 @query
 def apply_changes(spark, sf):
     """Every rule's changes, computed on the initial table, run in order."""
@@ -536,12 +566,44 @@ def apply_no_changes(spark, sf):
 @query
 def registry_sink(spark, sf):
     run_id = uuid.uuid4().hex
-    path = enrichment.write_company_table(
-        fx.company_ids(spark, sf), fx.registry(spark, sf), shared_folder(spark), run_id
-    )
+    with run_folder(spark) as folder:
+        path = enrichment.write_company_table(fx.company_ids(spark, sf), fx.registry(spark, sf), folder, run_id)
     return spark.read.parquet(path).select("itn", "name", "type", "status_itn")
 
 
+@query
+def table_sink(spark, sf):
+    """A table under a fixed name, replaced by what is left of itself."""
+    with run_folder(spark) as folder:
+        path = write_table(directory(spark, sf), f"{folder}/directory")
+    write_table(spark.read.parquet(path).where("check > 0"), path)
+    return spark.read.parquet(path)
+
+
+@query
+def registry_last(spark, sf):
+    """Several records of an id, loaded one after the other; the later one may be smaller as a text."""
+    return registry.registry_lookup(fx.company_ids(spark, sf), fx.registry_history(spark, sf))
+
+
+@query
+def registry_contacts(spark, sf):
+    """Lists of phones and e-mail addresses in all shapes, broken records among them."""
+    found = registry.registry_lookup(fx.company_ids(spark, sf), fx.registry_history(spark, sf))
+    return registry.registry_flatten(found, "null").select("itn", "name", "phone", "email", "okved", "kpp")
+
+
+@query
+def registry_counts(spark, sf):
+    """Counts filled by the pass that flattens the records."""
+    counts = Observation("records")
+    flat = enrichment.company_table(fx.company_ids(spark, sf), fx.registry_history(spark, sf), "null", counts)
+    named = flat.agg(F.count_if(F.col("name") != "").alias("named")).first()["named"]
+    found = counts.get
+    rows = [(found["ids"], found["missing"], found["malformed"], named)]
+    return spark.createDataFrame(rows, "ids bigint, missing bigint, malformed bigint, named bigint")
+
+
 @query
 def json_path_default(spark, sf):
     record = F.col("record")
