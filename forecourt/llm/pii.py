@@ -3,17 +3,20 @@
 High-recall generators propose spans that may overlap: the four base patterns, e-mail addresses with spelled-out
 signs, and any grouped run of digits. A match of a base pattern that passes its check is
 personal data and always stays. The other candidates are judged by boosted trees of depth two over format and
-context features (``FEATURES``, each true or false): digits, separators, check sum, words before the span.
+context: ``FEATURES`` (separators, groups of digits, words before the span; never the check itself, nor the number of
+digits that it tests) and how much more often the word before the span stands before checked than before failed matches.
 
-The trees learn from all candidates of the corpus: those that pass a base check against the rest. As every feature is a bit, the
-counts per combination (at most 2 ** len(FEATURES) rows, gathered by one aggregation) are all that
-boosting needs; Newton steps on the log-loss run over these counts. The threshold is the lowest score
-at and above which the share of checked spans is ``PRECISION``; candidates at or above it that
-touch no base span become spans of kind ``other``. Without any checked span nothing is added.
+The trees learn from the matches of the base patterns: those that pass their check against those of the same shapes that fail
+it, either side with half of the weight. Everything is cross-fitted: documents fall into two folds by a hash of their id,
+and each is judged by the word odds and trees of the other one. As every feature is a bit, the
+counts per fold and combination (at most 2 * 2 ** ``BITS`` rows, gathered by one aggregation) are all that
+boosting needs; Newton steps on the log-loss run over these counts. The threshold is the lowest score of the other fold's trees
+at and above which the share of checked spans, at equal weights, is ``PRECISION``; candidates at or above it that
+touch no base span become spans of kind ``other``. With fewer than ``LEAST`` matches on a side in either fold nothing is added.
 
 Positions are found with ``split``: the pieces between the matches and the matches have lengths that
 add up; running sums are taken in blocks, so many matches in one long text stay cheap. Patterns are written
-possessively, with the start of a run checked behind, which leaves their matches as they are and the time linear.
+possessively, with the start of a run checked behind, which leaves their matches as they are and the time linear. The candidates are written once and read by all passes.
 Positions count code points, ends are exclusive. Null and empty texts have no spans; rows are independent; other columns are ignored.
 """
 
@@ -24,6 +27,9 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.llm import common
+from forecourt.session import materialise
+
 KINDS = ("email", "ip", "card", "phone", "other")
 BASE = KINDS[:4]
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
@@ -48,12 +54,19 @@ CHECKS = {
 }
 #: Conditions over the match m, its digits d and the lowered text before it, b. [fixed values]
 FEATURES = (
-    "length(d) >= 8", "length(d) >= 11", "length(d) >= 13", "length(d) >= 16", "length(d) > 19",
-    "luhn_check(d)", "startswith(m, '+')", "contains(m, '(')", "length(m) - length(d) >= 2",
-    "length(m) - length(replace(m, '.', '')) = 3", "m rlike '@|at'",
-    "b rlike 'phone|tel|call|mobile|fax'", "b rlike 'card|visa|credit|account'", "b rlike 'mail|contact|write|host|server'",
+    "startswith(m, '+')", "contains(m, '(')", "m rlike '@|at'", "length(m) - length(d) >= 2", "m rlike '[.].*[.]'",
+    "m rlike '[0-9]{4}[ -][0-9]{4}'", "m rlike '(^|[^0-9])[0-9]{3}[ .-][0-9]{4}($|[^0-9])'",
+    "b rlike 'phone|tel|call|mobile|fax'", "b rlike 'card|visa|credit|account'", "b rlike 'mail|contact|write'", "b rlike 'host|server|address'",
     "b rlike '[a-z0-9=_\"/-]$'",
 )
+#: The last word of the text before the match, one of so many classes.
+WORD = r"pmod(crc32(cast(regexp_extract(b, '(\\p{L}+)\\P{L}*$', 1) as binary)), 1024)"
+WORDS = 1024
+#: Bits set where the log-odds of the word before are above or below these.
+ODDS = (1.0, 2.5, -1.0)
+BITS = len(FEATURES) + len(ODDS)
+FOLDS = 2
+LEAST = 10
 BEFORE = 24
 TREES = 24
 RATE = 0.3
@@ -100,35 +113,36 @@ def _bind(condition: str, span: str) -> str:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Per document row: doc_id, base (checked spans by kind), rest (the other candidates), each with its bits.
+    """Per document row: doc_id, fold, base (checked spans by kind), rest (the other candidates).
 
-    base: array of (kind, start, end, bits) by kind, then start; rest: array of (start, end, bits).
+    base: array of (kind, start, end, bits, w) by kind, then start; rest: array of (start, end, bits, w, y), w the class of
+    the word before, y 0 for matches that fail a check and null for others.
     """
-    frame = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
+    fold = F.coalesce(common.fold_of("doc_id", FOLDS), F.lit(0)).cast("int").alias("fold")
+    frame = docs.select(F.col("doc_id").cast("bigint"), fold, F.coalesce("text", F.lit("")).alias("text"))
     quote = lambda p: p.replace("\\", "\\\\").replace("'", "\\'")
     none = "cast(array() as array<string>)"
     frame = frame.select("*", *[
         F.expr(f"case when {need} then regexp_extract_all(text, '{quote(p)}', 0) else {none} end").alias(f"f_{name}")
         for name, (p, need) in PATTERNS.items()
     ])
-    frame = frame.select("doc_id", *[f"f_{n}" for n in PATTERNS], *[
+    frame = frame.select("doc_id", "fold", *[f"f_{n}" for n in PATTERNS], *[
         F.expr(f"case when size(f_{name}) > 0 then split(text, '{quote(p)}', -1) else {none} end").alias(f"p_{name}")
         for name, (p, _) in PATTERNS.items()
     ])
-    frame = frame.select("doc_id", *[F.expr(_positions(name)).alias(f"s_{name}") for name in PATTERNS])
+    frame = frame.select("doc_id", "fold", *[F.expr(_positions(name)).alias(f"s_{name}") for name in PATTERNS])
     base = [
         f"transform(filter(coalesce(s_{k}, array()), x -> {_bind(CHECKS[k], 'x')}), "
-        f"x -> named_struct('kind', '{k}', 'start', x.start, 'end', x.end, 'bits', {_bits('x')}))"
+        f"x -> named_struct('kind', '{k}', 'start', x.start, 'end', x.end, 'bits', {_bits('x')}, 'w', {_bind(WORD, 'x')}))"
         for k in BASE
     ]
+    other = "x -> named_struct('start', x.start, 'end', x.end, 'bits', {0}, 'w', {1}, 'y', {2})"
     failed = [f"filter(coalesce(s_{k}, array()), x -> not coalesce({_bind(CHECKS[k], 'x')}, false))" for k in ("ip", "card", "phone")]
-    rest = [*failed, *[f"coalesce(s_{k}, array())" for k in ("spelled", "digits")]]
-    frame = frame.select(
-        "doc_id", F.expr(f"concat({', '.join(base)})").alias("base"),
-        F.expr(f"transform(concat({', '.join(rest)}), x -> named_struct('start', x.start, 'end', x.end, 'bits', {_bits('x')}))").alias("proposed"),
-    )
+    failed = f"transform(concat({', '.join(failed)}), {other.format(_bits('x'), _bind(WORD, 'x'), '0')})"
+    more = f"transform(concat(coalesce(s_spelled, array()), coalesce(s_digits, array())), {other.format(_bits('x'), _bind(WORD, 'x'), 'cast(null as int)')})"
+    frame = frame.select("doc_id", "fold", F.expr(f"concat({', '.join(base)})").alias("base"), F.expr(f"concat({failed}, {more})").alias("proposed"))
     apart = "filter(proposed, x -> not exists(base, y -> x.start < y.end and y.start < x.end))"
-    return frame.select("doc_id", "base", F.expr(f"case when size(proposed) > 0 then {apart} else proposed end").alias("rest"))
+    return frame.select("doc_id", "fold", "base", F.expr(f"case when size(proposed) > 0 then {apart} else proposed end").alias("rest"))
 
 
 def boost(counts: list[tuple[int, int, int]], n_features: int, trees: int = TREES, rate: float = RATE) -> list[tuple]:
@@ -180,17 +194,32 @@ def tree_score(grown: list[tuple], bits: int) -> float:
     return total
 
 
-def calibrated(grown: list[tuple], counts: list[tuple[int, int, int]], precision: float = PRECISION) -> float:
-    """The lowest score at and above which checked spans make up the precision; infinite if none does."""
-    ranked = sorted(((tree_score(grown, b), p, n) for b, p, n in counts), reverse=True)
-    found, good, bad = math.inf, 0, 0
+def calibrated(scored: list[tuple[float, float, float]], precision: float = PRECISION) -> float:
+    """The lowest score at and above which checked spans make up the precision, at equal weights of both sides; infinite if none does.
+
+    scored: (score, weight of checked, weight of failed).
+    """
+    ranked = sorted(scored, reverse=True)
+    all_good, all_bad = sum(r[1] for r in ranked) or 1.0, sum(r[2] for r in ranked) or 1.0
+    found, good, bad = math.inf, 0.0, 0.0
     for i, (score, p, n) in enumerate(ranked):
-        good, bad = good + p, bad + n
+        good, bad = good + p / all_good, bad + n / all_bad
         if (i + 1 == len(ranked) or ranked[i + 1][0] < score) and good >= precision * (good + bad):
             found = score
     return found
 
 
+def word_bits(good: dict[int, int], bad: dict[int, int]) -> list[int]:
+    """Per class of words the bits of its log-odds, from counts before checked and failed matches; unseen words have odds of 1."""
+    all_good, all_bad = sum(good.values()), sum(bad.values())
+    prior = 2 / (all_good + all_bad)
+    out = []
+    for w in range(WORDS):
+        odds = math.log((good.get(w, 0) / all_good + prior) / (bad.get(w, 0) / all_bad + prior))
+        out.append(sum(1 << (len(FEATURES) + i) for i, edge in enumerate(ODDS) if (odds > edge > 0) or (odds < edge < 0)))
+    return out
+
+
 def score_sql(grown: list[tuple], bits: str) -> str:
     bit = lambda f: f"({bits} & {1 << f}) <> 0"
     trees = [
@@ -201,25 +230,48 @@ def score_sql(grown: list[tuple], bits: str) -> str:
     return " + ".join(trees) or "0.0D"
 
 
-def learn(found: DataFrame) -> tuple[list[tuple], float]:
-    """Trees and threshold from the output of ``candidates``."""
-    each = found.select(F.explode(F.expr("concat(transform(base, x -> named_struct('bits', x.bits, 'y', 1)), transform(rest, x -> named_struct('bits', x.bits, 'y', 0)))")).alias("c"))
-    rows = each.groupBy("c.bits").agg(F.sum("c.y").alias("p"), F.sum(1 - F.col("c.y")).alias("n")).orderBy("bits").collect()
-    counts = [(r["bits"], r["p"], r["n"]) for r in rows]
-    if not any(p for _, p, _ in counts):
-        return [], math.inf
-    grown = boost(counts, len(FEATURES))
-    return grown, calibrated(grown, counts)
+def with_odds(bits: str, word: str, fold: str, odds: list[list[int]]) -> str:
+    """The bits of a span with those of the word before, from the other folds' counts."""
+    flat = ", ".join(str(code) for codes in odds for code in codes)
+    return f"({bits} | get(array({flat}), cast({fold} * {WORDS} + {word} as int)))"
+
+
+def learn(found: DataFrame, precision: float = PRECISION) -> tuple[list[list[int]], list[list[tuple]], float]:
+    """Per fold the word bits and trees learned from the other fold, and the threshold, from the output of ``candidates``."""
+    label = "concat(transform(base, x -> named_struct('bits', x.bits, 'w', x.w, 'y', 1)), transform(filter(rest, x -> x.y = 0), x -> named_struct('bits', x.bits, 'w', x.w, 'y', 0)))"
+    each = found.select("fold", F.explode(F.expr(label)).alias("c")).select("fold", "c.*")
+    # at most 2 * FOLDS * WORDS rows
+    rows = each.groupBy("fold", "w", "y").agg(F.count(F.lit(1)).alias("n")).collect()
+    seen = [[{r["w"]: r["n"] for r in rows if r["fold"] == f and r["y"] == y} for y in (0, 1)] for f in range(FOLDS)]
+    nothing = [[0] * WORDS] * FOLDS, [[]] * FOLDS, math.inf
+    if any(sum(side.values()) < LEAST for fold in seen for side in fold):
+        return nothing
+    odds = [word_bits(seen[1 - f][1], seen[1 - f][0]) for f in range(FOLDS)]
+    # a fold's own matches, with the bits they have when the other fold's words judge them
+    joined = each.withColumn("bits", F.expr(with_odds("bits", "w", "fold", odds)))
+    rows = joined.groupBy("fold", "bits").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).orderBy("fold", "bits").collect()
+    counts = [[(r["bits"], r["p"], r["n"]) for r in rows if r["fold"] == f] for f in range(FOLDS)]
+    grown = [boost(balanced(counts[1 - f]), BITS) for f in range(FOLDS)]
+    scored = [(tree_score(grown[f], bits), p, n) for f in range(FOLDS) for bits, p, n in balanced(counts[f])]
+    return odds, grown, calibrated(scored, precision)
+
+
+def balanced(counts: list[tuple[int, int, int]]) -> list[tuple[int, float, float]]:
+    """The counts with the lighter side weighed up to the other."""
+    good, bad = sum(c[1] for c in counts), sum(c[2] for c in counts)
+    return [(bits, p * max(1.0, bad / good), n * max(1.0, good / bad)) for bits, p, n in counts]
 
 
 def find_personal(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     """Per document row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_other."""
-    found = candidates(docs)
-    grown, threshold = learn(found)
+    found = materialise(candidates(docs), "candidates")
+    odds, grown, threshold = learn(found, precision)
     chosen = "cast(array() as array<struct<start:int,end:int,bits:int>>)"
     if threshold < math.inf:
+        bits = _let("bits", with_odds("x.bits", "x.w", "fold", odds), "{0}")
+        scores = " ".join(f"when {f} then {bits.replace('{0}', score_sql(grown[f], 'bits'))}" for f in range(FOLDS))
+        good = f"filter(rest, x -> case fold {scores} end >= {threshold!r}D)"
         # several generators may propose one span, and spans that overlap: the first, longest one counts
-        good = f"filter(rest, x -> {score_sql(grown, 'x.bits')} >= {threshold!r}D)"
         chosen = (
             f"aggregate(array_sort(transform({good}, x -> named_struct('start', x.start, 'far', -x.end))), "
             "named_struct('to', -1, 'kept', cast(array() as array<struct<start:int,far:int>>)), "
