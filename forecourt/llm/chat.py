@@ -142,15 +142,14 @@ def events_of(messages: DataFrame, piece: int = PIECE) -> DataFrame:
     """
     text: Column = F.coalesce("text", F.lit(""))
     role: Column = F.coalesce("role", F.lit(""))
-    pieces = F.greatest(F.lit(1), F.ceil(F.length(text) / piece)).cast("int")
+    # one pass over a text; a dot matches a whole code point
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{piece}}}"), F.lit(0))
     return messages.select(
-        "conv_id", "turn", role.alias("role"), text.alias("whole"),
+        "conv_id", "turn", role.alias("role"), F.when(F.length(text) > piece, cut).otherwise(F.array(text)).alias("pieces"),
         # one id per message, so before its pieces are made
         F.concat_ws("|", role, F.sha2(text, 256), F.monotonically_increasing_id().cast("string")).alias("msg"),
-        F.sequence(F.lit(0), pieces - 1).alias("pieces"),
-    ).select("*", F.posexplode("pieces").alias("seq", "part")).select(
-        "conv_id", "turn", "msg", "seq", F.when(F.col("seq") == 0, "open").otherwise("delta").alias("kind"), "role",
-        F.substring("whole", F.col("part") * piece + 1, F.lit(piece)).alias("text"),
+    ).select("*", F.posexplode("pieces").alias("seq", "text")).select(
+        "conv_id", "turn", "msg", "seq", F.when(F.col("seq") == 0, "open").otherwise("delta").alias("kind"), "role", "text"
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import brute
 import numpy as np
 import pyarrow as pa
@@ -279,6 +281,16 @@ def test_chat_messages(spark):
     assert (got[1]["n_turns"], got[1]["loss_chars"], got[2]["n_turns"], got[None]["loss_chars"]) == (4, len(long), 1, 0)
 
 
+def test_chat_of_a_very_long_text(spark):
+    """Five million code points, none of them ASCII, in one message: linear, so seconds."""
+    long = "é\U0001f600\n[ü" * 1_000_000
+    frame = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", long)], "conv_id bigint, turn bigint, role string, text string")
+    start = time.monotonic()
+    row = chat.digests(chat.format_chats(chat.events_of(frame))).first()
+    assert time.monotonic() - start < 60
+    assert (row["n_turns"], row["loss_chars"], row["loss_sha256"]) == (2, len(long), brute.sha(long))
+
+
 @given(st.text(alphabet="\\n<>|[]/INSTsSYim_startendof \n", max_size=80), st.text(alphabet="\\n<|im_start|>\n[INST]s", max_size=20))
 @settings(max_examples=300, deadline=None)
 def test_chat_round_trip(text, role):
