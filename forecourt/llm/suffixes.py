@@ -255,7 +255,7 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     repeated = group_apart(found, ["gram"], F.count(F.lit(1)).alias("n")).where("n > 1")
     found = materialise(found.join(repeated, "gram").select("id", "gram", "n", "at"), "anchors")
     digests = texts.where(F.octet_length("text") >= LENGTH).select("id", F.md5("text").alias("digest"))
-    firsts = digests.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    firsts = group_apart(digests, ["digest"], F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     copies = materialise(digests.join(firsts, "digest").where("id > first").select("id", "digest").distinct(), "copies")
     by_id = copies.groupBy("id").agg(F.collect_set("digest").alias("copies"))
     parted = texts.repartition("id")
