@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from forecourt.llm import chat, decontaminate, language, minhash, mixing, pii, resample, secrets, sphere, suffixes, toxicity, urls, whiten
 from forecourt.llm.common import table
+from forecourt.session import run_folder
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
 
 
 def query(build):
-    LLM_QUERIES[build.__name__] = build
-    return build
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # intermediate tables of a query share a folder; session.remove_runs removes it
+        with run_folder(spark, keep=True):
+            return build(spark, sf_dir)
+
+    run.__name__ = build.__name__
+    LLM_QUERIES[build.__name__] = run
+    return run
 
 
 @query

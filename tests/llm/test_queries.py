@@ -43,6 +43,20 @@ def test_toxicity(spark, tables):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
 
 
+def test_toxicity_is_found_in_held_out_documents(spark):
+    """Half of what the labels hold is learned from at this size; every language with labels."""
+    sf = "/root/testdata/sf0.1"
+    label = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{sf}/labels.parquet").to_pylist()}
+    lang = {r["doc_id"]: r["lang"] for r in pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "lang"]).to_pylist()}
+    rows = [r for r in contract.queries()["op1_toxicity"](spark, sf).collect() if r["held_out"] and r["doc_id"] in label]
+    found = [label[r["doc_id"]] for r in rows if r["predicted"]]
+    toxic = [r for r in rows if label[r["doc_id"]]]
+    assert sum(found) >= 0.9 * len(toxic) and sum(found) >= 0.85 * len(found)
+    for name in {lang[r["doc_id"]] for r in toxic}:
+        own = [r["predicted"] for r in toxic if lang[r["doc_id"]] == name]
+        assert sum(own) > 0.6 * len(own)
+
+
 def test_vectors(spark, tables):
     want = brute.near_vectors([(r["vec_id"], r["embedding"], r["label"]) for r in tables["embeddings"]], 0.93)
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in result(spark, "op2_sphere")} == want
