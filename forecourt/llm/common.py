@@ -167,12 +167,15 @@ def fold_of(column: str, parts: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(parts)
 
 
-def unused(name: str, *frames: DataFrame) -> str:
-    """The name, with as many underscores behind it as make it no column of the frames."""
-    taken = {c.lower() for frame in frames for c in frame.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+def map_rows(docs: DataFrame, run, **more: Column) -> DataFrame:
+    """``docs.mapInArrow`` with the same columns out as in, whatever their names.
+
+    ``run`` finds doc_id and text under these names, the columns of ``more`` under theirs; it gives all but the latter back.
+    """
+    names = [c.lower() if c.lower() in ("doc_id", "text") else f"column {i}" for i, c in enumerate(docs.columns)]
+    plain = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in zip(docs.columns, names, strict=True)])
+    extended = plain.select("*", *[value.alias(name) for name, value in more.items()])
+    return extended.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -191,5 +191,5 @@ def without_leaks(docs: DataFrame, items: DataFrame, k: int = K, least: float =
                     keep[row] = not hit
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = common.map_rows(docs, run)
     return docs

@@ -253,12 +253,12 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 
 def of_known_language(docs: DataFrame, net: Network | None, least: float = LEAST_SCORE) -> DataFrame:
     """The documents of a learned language, recognised with at least this score, with all their columns."""
-    answers, name = _predict(net), common.unused("letters", docs)
+    answers = _predict(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = answers(batch.column("text"), batch.column(name).to_pylist())
+            names, scores = answers(batch.column("text"), batch.column("letters").to_pylist())
             keep = [n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)]
-            yield batch.drop_columns([name]).filter(pa.array(keep, pa.bool_()))
+            yield batch.drop_columns(["letters"]).filter(pa.array(keep, pa.bool_()))
 
-    return docs.withColumn(name, _has_letter()).mapInArrow(run, docs.schema)
+    return common.map_rows(docs, run, letters=_has_letter())

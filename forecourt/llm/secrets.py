@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.llm import common
+
 KINDS = ("assign", "access", "hex", "named")
 #: Base patterns and what a match must reach. [fixed values]
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -245,7 +247,7 @@ def redact(docs: DataFrame, mask: str = MASK) -> DataFrame:
             texts = [masked(t.as_py(), mask) for t in batch.column(at)]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = common.map_rows(docs, run)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.isnotnull("n_chars"), F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out
