@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from forecourt.llm import chat, decontaminate, language, minhash, mixing, pii, resample, secrets, sphere, suffixes, toxicity, urls, whiten
 from forecourt.llm.common import table
+from forecourt.llm.oracles import ORACLES
 from forecourt.session import run_folder
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = dict(ORACLES)
 
 
 def query(build):
@@ -90,27 +91,6 @@ def op11_urls(spark, sf_dir):
     return urls.judge(pages, urls.rule_table(spark), urls.listed_urls(pages)).drop("listed")
 
 
-LLM_ORACLES["op11_urls"] = """
-with cut as (
-  select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages
-), named as (
-  select page_id, regexp_extract(rest, '^[^/?#]*') as name, substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) as tail from cut
-), parts as (
-  select page_id, translate(name, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(tail, '^[^?#]*') as path
-  from named
-), rules(rule_host, rule_path, says) as (
-  values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
-), fitting as (
-  select page_id, host, path, max(struct_pack(n := length(rule_host || rule_path), rule := rule_host || rule_path, says := says)) as best
-  from parts left join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
-  group by page_id, host, path
-)
-select page_id, host, path, best.rule as rule, coalesce(best.says, case when len(list_intersect(string_split(host, '.'),
-  ['ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm'])) > 0 then 'block' else 'allow' end) as verdict
-from fitting
-"""
-
-
 @query
 def op12_whitening(spark, sf_dir):
     return whiten.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
@@ -121,42 +101,23 @@ def op13_resampling(spark, sf_dir):
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-LLM_ORACLES["op13_resampling"] = r"""
-with docs as (
-  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents
-), items as (
-  select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word from benchmark
-), occurrences as (select doc_id, unnest(words) as word from docs),
-per_doc as (select doc_id, word, count(*) as n from occurrences group by doc_id, word),
-spelled as (
-  select word, hex(encode(word)) as code from (select word from per_doc union select word from items)
-), steps as (
-  select word, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(length(code) // 2),
-    lambda i: ('0x' || substr(code, 2 * i + 1, 2))::bigint)),
-    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)),
-    4294967295::bigint) % 10000 as bucket
-  from spelled
-), sources as (select bucket, sum(n) as s from per_doc join steps using (word) group by bucket),
-targets as (select bucket, count(*) as t from items join steps using (word) group by bucket),
-counts as (
-  select bucket, coalesce(s, 0)::double as s, coalesce(t, 0)::double as t
-  from range(10000) b(bucket) left join sources using (bucket) left join targets using (bucket)
-), gains as (
-  select bucket, floor(1000 * ln((t + 1) * ((select sum(s) from counts) + 10000) / ((s + 1) * ((select sum(t) from counts) + 10000))))::bigint as gain
-  from counts
-), weights as (
-  select doc_id, sum(n * gain)::bigint as weight from per_doc join steps using (word) join gains using (bucket) group by doc_id
-), scored as (
-  select doc_id, len(words)::bigint as n_features, coalesce(weight, 0) as weight,
-    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
-  from docs left join weights using (doc_id)
-), able as (
-  select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from scored where n_features >= 20
-)
-select doc_id, n_features, weight, score, case when place <= 10 * n // 100 then place end as rank from scored left join able using (doc_id)
-"""
+@query
+def mixing_targets(spark, sf_dir):
+    """What each source is to give to the mix."""
+    found = mixing.targets(mixing.sizes(table(spark, sf_dir, "documents")))
+    return found.select("source", "source_size", F.round("target", 3).alias("target"))
+
+
+@query
+def secrets_base(spark, sf_dir):
+    """The part of op8 that SQL can express."""
+    return op8_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+@query
+def pii_base(spark, sf_dir):
+    """The part of op9 that SQL can express."""
+    return op9_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
 
 
 @query
