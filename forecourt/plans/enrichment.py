@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 
 from forecourt.operators.registry import registry_flatten, registry_lookup
+from forecourt.session import require_utc
 from forecourt.sources.sinks import write_run
 
 
 def company_table(
     ids: DataFrame, registry: DataFrame, mode: str = "strict", counts: Observation | None = None
 ) -> DataFrame:
+    require_utc(ids.sparkSession)
     return registry_flatten(registry_lookup(ids, registry), mode, counts)
 
 

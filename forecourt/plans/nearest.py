@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from forecourt.operators import competitors, knn, stations
-from forecourt.session import materialise, run_folder
+from forecourt.session import materialise, require_utc, run_folder
 
 
 @dataclass(frozen=True)
@@ -36,6 +36,7 @@ def enriched_pairs(tables: StationTables, k: int) -> DataFrame:
 
 
 def nearest_competitors(tables: StationTables, k: int, as_of: date) -> DataFrame:
+    require_utc(tables.prices.sparkSession)
     enriched = enriched_pairs(tables, k)
     sources = competitors.competitor_price_sources(tables.price_stations, tables.prices, as_of)
     return competitors.nearest_competitors(enriched, competitors.best_price_class(sources))

@@ -12,7 +12,7 @@ from forecourt import refdata
 from forecourt.functions.prices import day
 from forecourt.operators import activation, expiry, extract, in_report, replacement, summary
 from forecourt.operators.changes import apply_changes, union_all
-from forecourt.session import materialise, run_folder
+from forecourt.session import materialise, require_utc, run_folder
 
 WORKING_COLUMNS = ["station_id", "product_id", "price", "source", "show_in_report", "updated_at"]
 
@@ -130,5 +130,6 @@ def price_visibility(tables: PriceTables, as_of: date) -> DataFrame:
 
     What is written on the way is kept until ``session.remove_runs``, or goes to the caller's ``run_folder``.
     """
+    require_utc(tables.prices.sparkSession)
     with run_folder(tables.prices.sparkSession, keep=True):
         return apply_changes(tables.prices, visibility_changes(tables, as_of))

@@ -33,6 +33,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Raise unless days are those of UTC, as ``tune`` sets it; another zone would move rows between days."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "GMT"):
+        raise ValueError(f"the session's time zone is {zone}, not UTC; see forecourt.session.tune")
+
+
 def local_session(cores: int | str = 8, partitions: int = 8, app: str = "forecourt") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forecourt.operators import activation, expiry, extract, in_report, replacement, summary
+from forecourt.plans import enrichment, nearest, visibility
 
 
 def keys(changes):
@@ -301,3 +302,65 @@ def test_row_order_does_not_matter(spark):
     data = [(s, p, 40.0 + p, src, f, s if a is None else a) for s in range(6) for p, src, f, a in per_station]
     one, other = snapshot(spark, data), snapshot(spark, data[::-1]).repartition(7)
     assert rows(activation.score_new_sources(one, AS_OF)) == rows(activation.score_new_sources(other, AS_OF))
+
+
+def without_keys(source="api_gpn", flag="f", age=0):
+    """Rows with a missing source, product or both, at the stations the tests use."""
+    return [(s, p, 60.0, src, flag, age) for s in (1, 2, 3) for p, src in ((None, source), (None, None), (3, None))]
+
+
+def all_keyed(changes, *columns):
+    assert changes.where(" or ".join(f"{c} is null" for c in columns)).count() == 0
+    return rows(changes, *columns)
+
+
+def test_partial_sources_without_keys(spark):
+    """R6, R7: a missing product or source is shown by no change, whatever it adds to the counts."""
+    for source, rule in (("api_gpn", activation.on_partial_trusted), ("api_ppr", activation.on_partial_untrusted)):
+        known = [(1, p, 60.0, source, "f", 0) for p in (2, 4, 41, 173)] + [(1, 174, 1.0, source, "f", 0)]
+        snap = snapshot(spark, known + without_keys(source))
+        made = rule(activation.score_new_sources(snap, AS_OF), snap, AS_OF)
+        assert all_keyed(made, "station_id", "source", "product_id") == [(1, source, p) for p in (2, 4, 41, 173)]
+
+
+def test_in_report_rules_without_keys(spark):
+    """R8, R9."""
+    known = [(1, 2, 60.0, "api_gpn", "t", 0), (1, 4, 61.0, "api_gpn", "f", 0), (1, 41, 62.0, "api_gpn", "t", 2)]
+    snap = snapshot(spark, known + without_keys() + [(1, None, 60.0, "api_gpn", "t", 2)])
+    assert all_keyed(in_report.on_in_report_new(snap, AS_OF), "station_id", "source", "product_id") == [(1, "api_gpn", 4)]
+    assert all_keyed(in_report.off_stale_in_report(snap, AS_OF), "station_id", "source", "product_id") == [(1, "api_gpn", 41)]
+
+
+def test_replacement_without_keys(spark):
+    """R11, and R10 beside it: a row without a source replaces nothing and is not replaced."""
+    known = [(1, 2, 60.0, "api_ppr", "t", 1), (1, 2, 60.0, "api_gpn", "f", 0), (1, 4, 60.0, "api_gpn", "f", 0)]
+    snap = snapshot(spark, known + without_keys())
+    swaps = replacement.source_replacement(snap, AS_OF)
+    assert rows(swaps, "station_id", "old_source", "new_source") == [(1, "api_ppr", "api_gpn")]
+    made = replacement.on_replacing_source(swaps, snap, AS_OF)
+    assert all_keyed(made, "station_id", "source", "product_id") == [(1, "api_gpn", 2), (1, "api_gpn", 4)]
+    assert all_keyed(replacement.off_replaced_source(swaps), "station_id", "source") == [(1, "api_ppr")]
+
+
+@pytest.mark.parametrize("price", [1e300, 12345678.901])
+def test_prices_are_equal_to_the_kopeck(spark, price):
+    candidates = spark.createDataFrame([(1, "a", 2, 60.004), (1, "a", 3, price), (1, "a", 4, 60.006)], "station_id bigint, source string, product_id bigint, new_price double")
+    shown = spark.createDataFrame([(1, "a", 174, 59.996), (1, "a", 175, price), (1, "a", 41, 60.0)], "station_id bigint, source string, product_id bigint, shown_price double")
+    found = rows(in_report.equivalent_product_dup(candidates, shown), "product_id")
+    assert found == ([(2,)] if price > 1e20 else [(2,), (3,)])
+
+
+@pytest.mark.parametrize("plan", ["visibility", "nearest", "company"])
+def test_another_time_zone_is_refused(spark, plan):
+    nothing = spark.range(0)
+    run = {
+        "visibility": lambda: visibility.price_visibility(visibility.PriceTables(*[nothing] * 5), AS_OF),
+        "nearest": lambda: nearest.nearest_competitors(nearest.StationTables(*[nothing] * 6), 5, AS_OF),
+        "company": lambda: enrichment.company_table(nothing, nothing),
+    }
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Omsk")
+    try:
+        with pytest.raises(ValueError, match="Asia/Omsk"):
+            run[plan]()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecourt import refdata
 from forecourt.functions.prices import shown_flag
 from forecourt.plans.nearest import StationTables
 from forecourt.plans.visibility import PriceTables
@@ -61,9 +63,36 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def full_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price table from lineitem with every limit, every ranked source and one without a rank, several rows of a key,
+    rows older than all limits of age, and missing prices and flags."""
+    products = ", ".join(str(p) for p in (*sorted(refdata.PRICE_LIMITS), 999, 1000))
+    sources = ", ".join(f"'{s}'" for s in (*sorted(refdata.SOURCE_RANK), "api_azsgo", "api_unranked"))
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS station_id",
+        f"CAST(array({products})[CAST((l_orderkey * 3 + l_linenumber div 2) % 25 AS INT)] AS BIGINT) AS product_id",
+        f"array({sources})[CAST((l_orderkey + CASE WHEN l_linenumber <= 4 THEN 0 ELSE 5 END) % 19 AS INT)] AS source",
+        """CASE WHEN l_suppkey % 23 = 0 THEN NULL WHEN l_orderkey % 2 = 0 THEN 60D
+             ELSE CAST(200 + l_suppkey * 7 % 100 * 10 AS DOUBLE) / 10 END AS price""",
+        """CASE WHEN l_partkey % 17 = 0 THEN NULL WHEN l_orderkey % 3 = 0 THEN 'f' WHEN l_partkey % 4 <> 0 THEN 't'
+             ELSE 'f' END AS show_in_report""",
+        """CAST(date_sub(DATE '2024-01-31', CASE WHEN l_quantity <= 25 THEN 0 ELSE CAST(l_partkey % 70 AS INT) END) AS TIMESTAMP)
+             + INTERVAL 10 HOURS AS updated_at""",
+        "0L AS updated_by_id",
+    )
+
+
+def full_tables(spark: SparkSession, sf_dir: str) -> PriceTables:
+    return replace(price_tables(spark, sf_dir), prices=full_prices(spark, sf_dir))
+
+
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule input over all stations."""
-    return prices(spark, sf_dir).select(
+    return snapshot_of(prices(spark, sf_dir))
+
+
+def snapshot_of(prices: DataFrame) -> DataFrame:
+    return prices.select(
         "station_id",
         "product_id",
         "price",

@@ -51,6 +51,22 @@ SELECT station_id, CAST(product_id AS BIGINT) AS product_id, source, price, show
  CAST({D} - age_days AS DATE) AS date_upd,
  CAST(CAST({D} - age_days AS DATE) AS TIMESTAMP) + INTERVAL 10 HOURS AS updated_at,
  CAST(0 AS BIGINT) AS updated_by_id FROM obs_raw"""
+CTES["full"] = f"""
+SELECT station_id, product_id, source, price, show_in_report, CAST({D} - age_days AS DATE) AS date_upd,
+ CAST(CAST({D} - age_days AS DATE) AS TIMESTAMP) + INTERVAL 10 HOURS AS updated_at, CAST(0 AS BIGINT) AS updated_by_id FROM (
+ SELECT l_orderkey AS station_id,
+  CAST([2, 3, 4, 41, 42, 133, 139, 156, 173, 174, 175, 176, 177, 178, 179, 181, 182, 183, 184, 189, 204, 308, 332, 999,
+   1000][(l_orderkey * 3 + l_linenumber // 2) % 25 + 1] AS BIGINT) AS product_id,
+  ['api_azsopti', 'api_benzuber', 'api_fuelup', 'api_gpn', 'api_licard', 'api_lukoil', 'api_ppr', 'api_rncard', 'api_sng',
+   'api_yandex_fuel', 'api_yandex_other', 'manual_app', 'manual_gazprom', 'manual_manual', 'manual_other', 'manual_phone',
+   'manual_ppr', 'api_azsgo', 'api_unranked'][(l_orderkey + CASE WHEN l_linenumber <= 4 THEN 0 ELSE 5 END) % 19 + 1] AS source,
+  CASE WHEN l_suppkey % 23 = 0 THEN NULL WHEN l_orderkey % 2 = 0 THEN CAST(60 AS DOUBLE)
+       ELSE CAST(200 + l_suppkey * 7 % 100 * 10 AS DOUBLE) / 10 END AS price,
+  CASE WHEN l_partkey % 17 = 0 THEN NULL WHEN l_orderkey % 3 = 0 THEN 'f' WHEN l_partkey % 4 <> 0 THEN 't' ELSE 'f' END AS show_in_report,
+  CASE WHEN l_quantity <= 25 THEN 0 ELSE CAST(l_partkey % 70 AS INT) END AS age_days FROM lineitem)"""
+CTES["fullsnap"] = """
+SELECT station_id, product_id, price, source, CASE WHEN show_in_report = 't' THEN 't' ELSE 'f' END AS show_in_report, date_upd FROM full_"""
+CTES["full_"] = CTES.pop("full")
 CTES["lim"] = """
 SELECT * FROM (VALUES (2,46.55,97), (3,40.05,97), (4,50.5,97), (41,50.5,97), (42,33,85), (173,50.5,97),
  (174,46.55,97), (175,40.5,97), (176,46,110), (139,40.1,95), (177,46,110), (184,46,110), (178,10,40), (179,11,45),
@@ -330,11 +346,11 @@ WHERE show_in_report = 't' AND (price < 11 OR price > 110)"""
     change("off_out_of_bounds", "f", f"bounds{x}", product="product_id")
     CTES[f"diesel{x}"] = f"""
 SELECT station_id, product_id, date_upd, n AS count_diesel FROM (
- SELECT station_id, product_id, date_upd, count(*) OVER (PARTITION BY station_id) AS n,
+ SELECT station_id, product_id, date_upd, count(*) OVER (PARTITION BY station_id) AS n, count(price) OVER (PARTITION BY station_id) AS priced,
   min(price) OVER (PARTITION BY station_id) AS cheapest, max(price) OVER (PARTITION BY station_id) AS dearest,
   ROW_NUMBER() OVER (PARTITION BY station_id ORDER BY date_upd, product_id) AS rn
  FROM {snap} WHERE show_in_report = 't' AND product_id IN {DIESEL})
-WHERE n > 1 AND cheapest = dearest AND rn = 1"""
+WHERE n > 1 AND rn = 1 AND (priced = 0 OR (priced = n AND cheapest = dearest))"""
     change("off_old_diesel", "f", f"diesel{x}", source="NULL", product="product_id", only="'t'")
 
 
@@ -361,26 +377,28 @@ def union_rules(rules, x: str) -> str:
 
 
 def update_ctes(before: str, changes: str, after: str) -> None:
-    """``after`` is table ``before`` with the last matching change of every row."""
+    """``after`` is table ``before`` with the last matching change of every row; rows that agree in what decides share it."""
     when = (
         "(c.from_date IS NULL OR t.updated_at >= c.from_date) AND (c.to_date IS NULL OR t.updated_at < c.to_date) "
         "AND (c.only_flag IS NULL OR c.only_flag = t.show_in_report)"
     )
-    pick = "SELECT t.station_id, t.product_id, t.source, c.pos, c.new_flag"
-    key = "t.station_id, t.product_id, t.source"
-    CTES[f"{after}_hits"] = f"""
-SELECT station_id, product_id, source, arg_max(new_flag, pos) AS flag FROM (
- {pick} FROM {before} t JOIN {changes} c ON c.station_id = t.station_id AND c.source = t.source
-  WHERE c.product_id IS NULL AND {when}
- UNION ALL {pick} FROM {before} t JOIN {changes} c ON c.station_id = t.station_id AND c.source = t.source
-  AND c.product_id = t.product_id WHERE {when}
- UNION ALL {pick} FROM {before} t JOIN {changes} c ON c.station_id = t.station_id AND c.product_id = t.product_id
-  WHERE c.source IS NULL AND {when}) GROUP BY station_id, product_id, source"""
+    key = ("station_id", "product_id", "source", "updated_at", "show_in_report")
+    grains = {
+        "c.product_id IS NULL": ("station_id", "source"),
+        "true": ("station_id", "source", "product_id"),
+        "c.source IS NULL": ("station_id", "product_id"),
+    }
+    hits = "\nUNION ALL ".join(
+        f"SELECT {', '.join(f't.{k}' for k in key)}, c.pos, c.new_flag FROM {before} t JOIN {changes} c "
+        f"ON {' AND '.join(f'c.{k} = t.{k}' for k in grain)} WHERE {test} AND {when}"
+        for test, grain in grains.items()
+    )
+    CTES[f"{after}_hits"] = f"SELECT {', '.join(key)}, arg_max(new_flag, pos) AS flag FROM ({hits}) GROUP BY ALL"
+    same = " AND ".join(f"h.{k} IS NOT DISTINCT FROM t.{k}" for k in key)
     CTES[after] = f"""
-SELECT {key}, t.price, coalesce(h.flag, t.show_in_report) AS show_in_report, t.date_upd, t.updated_at,
+SELECT t.station_id, t.product_id, t.source, t.price, coalesce(h.flag, t.show_in_report) AS show_in_report, t.date_upd, t.updated_at,
  CASE WHEN h.flag IS NOT NULL THEN CAST(1 AS BIGINT) ELSE t.updated_by_id END AS updated_by_id
-FROM {before} t LEFT JOIN {after}_hits h ON h.station_id = t.station_id AND h.product_id = t.product_id
- AND h.source = t.source"""
+FROM {before} t LEFT JOIN {after}_hits h ON {same}"""
 
 
 CTES["scope"] = """
@@ -395,22 +413,26 @@ SELECT station_id, product_id, price, source, flag AS show_in_report, date_upd
 FROM {table} JOIN scope USING (station_id) JOIN oldest ON flag = show_in_report AND updated_at > oldest"""
 
 
-# rules on the initial table
-rule_ctes("obs", "")
-CTES["everything"] = union_rules([r for stage in STAGE_RULES for r in stage], "")
-CTES["first_rules"] = "SELECT * FROM everything WHERE rule <> 'off_old_diesel'"
-CTES["last_rule"] = "SELECT * FROM everything WHERE rule = 'off_old_diesel'"
-update_ctes("obs", "first_rules", "applied_most")
-update_ctes("applied_most", "last_rule", "applied")
+def both_ways(table: str, snap: str, x: str) -> None:
+    """All rules on the initial table and what it is after them, and the staged run."""
+    rule_ctes(snap, x)
+    CTES[f"everything{x}"] = union_rules([r for stage in STAGE_RULES for r in stage], x)
+    CTES[f"first_rules{x}"] = f"SELECT * FROM everything{x} WHERE rule <> 'off_old_diesel'"
+    CTES[f"last_rule{x}"] = f"SELECT * FROM everything{x} WHERE rule = 'off_old_diesel'"
+    update_ctes(table, f"first_rules{x}", f"applied_most{x}")
+    update_ctes(f"applied_most{x}", f"last_rule{x}", f"applied{x}")
+    before = table
+    # every stage works on the table the one before left
+    for n, rules in enumerate(STAGE_RULES, 1):
+        CTES[f"snap{n}{x}"] = extract_sql(before)
+        rule_ctes(f"snap{n}{x}", f"_s{n}{x}")
+        CTES[f"changes{n}{x}"] = union_rules(rules, f"_s{n}{x}")
+        update_ctes(before, f"changes{n}{x}", f"table{n}{x}")
+        before = f"table{n}{x}"
+
 
-# the staged run, every stage on the table the one before left
-_before = "obs"
-for _n, _rules in enumerate(STAGE_RULES, 1):
-    CTES[f"snap{_n}"] = extract_sql(_before)
-    rule_ctes(f"snap{_n}", f"_s{_n}")
-    CTES[f"changes{_n}"] = union_rules(_rules, f"_s{_n}")
-    update_ctes(_before, f"changes{_n}", f"table{_n}")
-    _before = f"table{_n}"
+both_ways("obs", "obs", "")
+both_ways("full_", "fullsnap", "_full")
 
 _NAMES = re.compile(r"\b(?:FROM|JOIN)\s+([a-z_][a-z_0-9]*)")
 
@@ -494,6 +516,17 @@ BODIES = {
     "apply_changes": "SELECT station_id, product_id, source, show_in_report, updated_by_id FROM applied",
     "apply_no_changes": "SELECT station_id, product_id, source, show_in_report, updated_by_id FROM obs",
     "price_visibility": "SELECT station_id, product_id, source, price, show_in_report, updated_by_id FROM table4",
+    "full_limits": """SELECT product_id, price, lo, hi, n, coalesce(price <= lo OR price >= hi, false) AS fails,
+ coalesce(price BETWEEN lo AND hi, false) AS passes FROM (
+ SELECT s.product_id, price, CAST(coalesce(lo, 35) AS DOUBLE) AS lo, CAST(coalesce(hi, 110) AS DOUBLE) AS hi, count(*) AS n
+ FROM fullsnap s LEFT JOIN lim ON lim.product_id = s.product_id GROUP BY ALL)""",
+    "full_ranks": """SELECT s.source, count(*) AS n, max(rate) AS rate, max(coalesce(class, 0)) AS class FROM fullsnap s
+ LEFT JOIN rnk ON rnk.source = s.source LEFT JOIN source_class ON named = s.source GROUP BY s.source""",
+    "full_extract": extract_sql("full_"),
+    "full_rules": f"SELECT {CHANGE_COLUMNS} FROM everything_full",
+    "full_applied": "SELECT station_id, product_id, source, price, CAST(updated_at AS DATE) AS day, show_in_report, updated_by_id FROM applied_full",
+    "full_applied_by_outcome": "SELECT station_id, product_id, source, price, CAST(updated_at AS DATE) AS day, show_in_report, updated_by_id FROM applied_full",
+    "full_visibility": "SELECT station_id, product_id, source, price, CAST(updated_at AS DATE) AS day, show_in_report, updated_by_id FROM table4_full",
     "parse_gps": """SELECT id AS gs_id, trim(split_part(gps_var, ',', 1)) AS lat_text,
  trim(split_part(gps_var, ',', -1)) AS lon_text FROM geo""",
     "try_number": """SELECT id AS gs_id, TRY_CAST(trim(split_part(gps_var, ',', 1)) AS DOUBLE) AS lat,

@@ -427,6 +427,76 @@ def price_visibility(spark, sf):
     return done.select("station_id", "product_id", "source", "price", "show_in_report", "updated_by_id")
 
 
+# --- the same over a table with every limit, rank and age, several rows of a key, and missing values ------------
+
+
+def full_snapshot(spark, sf):
+    return fx.snapshot_of(fx.full_prices(spark, sf))
+
+
+def full_changes(spark, sf):
+    snap = materialise(full_snapshot(spark, sf), "snapshot")
+    return changes.union_all([rules(snap, AS_OF) for _, rules, _ in visibility.STAGES])
+
+
+def with_day(table):
+    return table.select(
+        "station_id", "product_id", "source", "price", F.to_date("updated_at").alias("day"), "show_in_report", "updated_by_id"
+    )
+
+
+@query
+def full_limits(spark, sf):
+    seen = full_snapshot(spark, sf).groupBy("product_id", "price").agg(F.count(F.lit(1)).alias("n"))
+    checked = prices.with_limits(seen)
+    price, lo, hi = F.col("price"), F.col("lo"), F.col("hi")
+    return checked.select(
+        "product_id", "price", "lo", "hi", "n",
+        prices.fails_open(price, lo, hi).alias("fails"), prices.passes_closed(price, lo, hi).alias("passes"),
+    )
+
+
+@query
+def full_ranks(spark, sf):
+    seen = full_snapshot(spark, sf).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return seen.select("source", "n", prices.source_rank(F.col("source")).alias("rate"), prices.source_class(F.col("source")).alias("class"))
+
+
+@query
+def full_extract(spark, sf):
+    """Rows at both limits of age and beyond them, and rows without a flag."""
+    tables = fx.full_tables(spark, sf)
+    return extract.price_extract(
+        tables.prices, tables.stations, tables.customer_stations, tables.customers, tables.competitors, AS_OF
+    )
+
+
+@query
+def full_rules(spark, sf):
+    """The changes of all fourteen rules."""
+    return full_changes(spark, sf)
+
+
+@query
+def full_applied(spark, sf):
+    done = changes.apply_changes(fx.full_prices(spark, sf), materialise(full_changes(spark, sf), "changes"))
+    return with_day(done)
+
+
+@query
+def full_applied_by_outcome(spark, sf):
+    """As full_applied, by the way for change-sets too large to be sent to every task."""
+    found = materialise(full_changes(spark, sf), "changes")
+    done = changes.apply_changes(fx.full_prices(spark, sf), found, broadcast_rows=0)
+    return with_day(done)
+
+
+@query
+def full_visibility(spark, sf):
+    done = visibility.price_visibility(fx.full_tables(spark, sf), AS_OF)
+    return with_day(done)
+
+
 # --- stations --------------------------------------------------------------------------
 
 
