@@ -344,6 +344,27 @@ def test_vectors(spark):
     assert sphere.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_pairs_at_the_limit_through_the_shapes_of_the_query(spark):
+    """Thousands of vectors of a label, a pair in two of them at a cosine of 0.93 to 0.95."""
+    rng = np.random.default_rng(12)
+    rows, pairs = [], 0
+    for label, count in ((0, 1500), (1, 600)):
+        for i in range(count):
+            v, w = rng.normal(size=(2, 64))
+            v /= np.linalg.norm(v)
+            w -= v * (v @ w)
+            cosine = rng.uniform(0.9301, 0.95)
+            near = cosine * v + np.sqrt(1 - cosine**2) * w / np.linalg.norm(w)
+            rows += [(len(rows), v.tolist(), label), (len(rows) + 1, near.tolist(), label)]
+            pairs += 1
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in sphere.near_vectors(frame).collect()}
+    want = brute.near_vectors(rows, 0.93)
+    assert sum(n for n, _ in want.values()) == 2 * pairs
+    assert all(got[i][0] <= n for i, (n, _) in want.items())
+    assert sum(n for n, _ in got.values()) >= 0.99 * 2 * pairs
+
+
 def test_vectors_of_a_split_filter(spark, monkeypatch):
     monkeypatch.setattr(sphere, "BLOCK", 5)
     rng = np.random.default_rng(4)
