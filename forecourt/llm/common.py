@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 #: White space between words, as bytes. [fixed values]
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-#: Texts are worked on in pieces of about this many bytes; one longer text is one piece.
+#: Texts are worked on in pieces of about this many bytes; a longer one comes in several.
 PIECE_BYTES = 1 << 20
 
 _IS_SPACE = np.zeros(256, bool)
@@ -67,20 +67,21 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def pieces(bounds: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+def pieces(bounds: np.ndarray, most: int | None = None) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``most`` bytes each; every row is in exactly one."""
-    first, n = 0, len(bounds) - 1
+    first, n, most = 0, len(bounds) - 1, most or PIECE_BYTES
     while first < n:
         last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + most, "right")) - 1)
         yield first, min(last, n)
         first = last
 
 
-def chunks(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _IS_SPACE, size: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]:
+def chunks(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _IS_SPACE, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]:
     """Rows [first, last), some of their bytes, the rows' bounds in these, and whether a row goes on from the chunk before.
 
     A text longer than ``size`` comes alone and in several chunks, cut between words; one longer word is one chunk.
     """
+    size = size or PIECE_BYTES
     for first, last in pieces(bounds, size):
         if last - first > 1 or bounds[last] - bounds[first] <= size:
             yield first, last, data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first], False
@@ -128,6 +129,29 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _IS_
     return Hashes(data).of(starts, ends), np.searchsorted(starts, bounds)
 
 
+def words_of_rows(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows [first, last), the hashes of their words and the rows' bounds among these.
+
+    A long text is read in chunks, so that besides its words only one chunk is in work at a time.
+    """
+    parts: list[np.ndarray] = []
+    open_row = None
+    for first, last, part, within, goes_on in chunks(data, bounds):
+        if open_row is not None and not goes_on:
+            words = np.concatenate(parts)
+            yield open_row, open_row + 1, words, np.array([0, len(words)])
+            open_row, parts = None, []
+        words, at = word_hashes(part, within)
+        if goes_on or (last - first == 1 and bounds[last] - bounds[first] > len(part)):
+            open_row = first
+            parts.append(words)
+        else:
+            yield first, last, words, at
+    if open_row is not None:
+        words = np.concatenate(parts)
+        yield open_row, open_row + 1, words, np.array([0, len(words)])
+
+
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """A hash of every run of k words of a row; the whole row as one run where it has fewer.
 

@@ -134,9 +134,7 @@ class ItemIndex:
 
 def _scan(batch: pa.RecordBatch, index: ItemIndex, least: float) -> Iterator[tuple[int, dict]]:
     data, bounds = common.buffers(batch.column("text"))
-    for first, last in common.pieces(bounds):
-        part = bounds[first : last + 1] - bounds[first]
-        words, word_bounds = common.word_hashes(data[bounds[first] : bounds[last]], part)
+    for first, _, words, word_bounds in common.words_of_rows(data, bounds):
         shingles, where = common.shingle_hashes(words, word_bounds, index.k)
         counts = np.diff(word_bounds)
         for row in np.flatnonzero(counts >= index.k):

@@ -73,9 +73,7 @@ def signature(grams: np.ndarray) -> np.ndarray:
 def _documents(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The word hashes and the sorted distinct shingles of every text."""
     data, bounds = common.buffers(column)
-    for first, last in common.pieces(bounds):
-        part = bounds[first : last + 1] - bounds[first]
-        words, at = common.word_hashes(data[bounds[first] : bounds[last]], part)
+    for first, last, words, at in common.words_of_rows(data, bounds):
         grams, where = common.shingle_hashes(words, at, k)
         for row in range(last - first):
             yield words[at[row] : at[row + 1]], np.unique(grams[where[row] : where[row + 1]])

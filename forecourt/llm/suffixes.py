@@ -101,10 +101,32 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         data, bounds = common.buffers(batch.column("text"))
         ids = batch.column("id").to_numpy()
         for first, last in common.pieces(bounds):
-            row, gram, offset, low, high = anchors(data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first])
-            if len(row):
-                at = offset << 14 | low << 7 | high
-                yield pa.RecordBatch.from_arrays([pa.array(ids[first + row]), pa.array(gram), pa.array(at)], schema=_ANCHORS)
+            for start, part, within in _overlapping(data, bounds, first, last):
+                row, gram, offset, low, high = anchors(part, within)
+                if len(row):
+                    at = (start + offset) << 14 | low << 7 | high
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[first + row]), pa.array(gram), pa.array(at)], schema=_ANCHORS)
+
+
+def _overlapping(data: np.ndarray, bounds: np.ndarray, first: int, last: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The bytes of rows, or chunks of one long row: every window lies in one of them. Start in the row, bytes, bounds."""
+    at, end, size = int(bounds[first]), int(bounds[last]), common.PIECE_BYTES
+    if last - first > 1 or end - at <= size:
+        yield 0, data[at:end], bounds[first : last + 1] - at
+        return
+    for start in range(at, max(at + 1, end - LENGTH + 1), size):
+        part = data[start : min(start + size + LENGTH - 1, end)]
+        yield start - at, part, np.array([0, len(part)])
+
+
+def grams_at(data: np.ndarray, offsets: np.ndarray, q: int) -> np.ndarray:
+    """The hashes of the q bytes from some positions on."""
+    up, _ = common.powers(q)
+    out = np.empty(len(offsets), np.uint64)
+    for i in range(0, len(offsets), _CHUNK):
+        some = offsets[i : i + _CHUNK]
+        out[i : i + _CHUNK] = ((data[some[:, None] + np.arange(q)].astype(np.uint64) + np.uint64(1)) * up).sum(axis=1)
+    return common.mix(out)
 
 
 def _bring_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,10 +143,10 @@ def _bring_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 text = (texts[k].as_py() or "").encode()
                 gram, n, at = (found.field(i).to_numpy() for i in range(3))
                 offset, low, high = at >> 14, at >> 7 & 127, at & 127
-                hashes = (gram_hashes(np.frombuffer(text, np.uint8), Q) >> np.uint64(7)).astype(np.int64)
                 # another row with this id may have brought anchors of another text
-                good = (offset < len(hashes)) & (offset >= low) & (offset - high + LENGTH <= len(text))
-                good[good] = hashes[offset[good]] == gram[good]
+                good = (offset + Q <= len(text)) & (offset >= low) & (offset - high + LENGTH <= len(text))
+                hashes = grams_at(np.frombuffer(text, np.uint8), offset[good], Q) >> np.uint64(7)
+                good[good] = hashes.astype(np.int64) == gram[good]
                 for g, m, o, a, b in zip(gram[good].tolist(), n[good].tolist(), offset[good].tolist(), low[good].tolist(), high[good].tolist(), strict=True):
                     for column, value in zip(out, (g, m, ids[k], o - a, a, text[o - a : o - b + LENGTH]), strict=True):
                         column.append(value)

@@ -53,6 +53,29 @@ def test_words_and_shingles():
         assert [len(set(grams[a:b].tolist())) for a, b in zip(where, where[1:], strict=False)] == [len(brute.shingles(t, k)) for t in texts]
 
 
+@pytest.mark.parametrize("size", [40, 1000])
+def test_long_texts_in_chunks(spark, monkeypatch, size):
+    """Texts longer than a chunk give what they give as a whole."""
+    monkeypatch.setattr(common, "PIECE_BYTES", size)
+    rng = np.random.default_rng(size)
+    line = "a line of some words that comes again and again in the long ones, of a hundred bytes and some more; "
+    texts = [(i, " ".join(f"w{j}" for j in rng.integers(0, 300, rng.integers(0, 400))) + (" " + line * (i % 3)) + "é" * (i % 50)) for i in range(30)]
+    texts += [(100 + i, t + " one more word") for i, t in texts] + [(200, "x" * 3000), (201, "y " + "x" * 3000), (202, ""), (203, None)]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(frame, 3, 85).collect()}
+    assert got == brute.near_duplicates(texts, 3, 85)
+    assert {r[0]: tuple(r)[1:] for r in suffixes.without_repeats(frame).collect()} == brute.removed(texts, 100)
+    items = [(1, " ".join(texts[5][1].split()[3:25])), (2, line.strip())]
+    found = decontaminate.leaked_items(frame, spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == brute.leaks(texts, items, 5, 0.8)
+    monkeypatch.undo()
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in texts], "doc_id bigint, toxic int")
+    whole = toxicity.learn(frame, marks)
+    monkeypatch.setattr(common, "PIECE_BYTES", size)
+    parts = toxicity.learn(frame, marks)
+    assert np.array_equal(whole[0].keys, parts[0].keys) and np.allclose(whole[0].own, parts[0].own) and np.allclose(whole[0].fit, parts[0].fit)
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (9, 8), (8, 8), (3, 1), (None, 4), (20, 21), (21, 22), (22, 23), (23, 24), (24, 3)]
     got = {(r["node"], r["component"]) for r in components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
