@@ -263,7 +263,7 @@ def balanced(counts: list[tuple[int, int, int]]) -> list[tuple[int, float, float
 
 
 def find_personal(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
-    """Per document row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_other."""
+    """Per document row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_other, n_spans."""
     found = materialise(candidates(docs), "candidates")
     odds, grown, threshold = learn(found, precision)
     chosen = "cast(array() as array<struct<start:int,end:int,bits:int>>)"
@@ -287,5 +287,5 @@ def find_personal(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     return frame.select(
         "doc_id", *[count(k) for k in BASE], F.sha2("base_text", 256).alias("base_sha256"),
         F.concat_ws(",", F.nullif("base_text", F.lit("")), F.nullif("more_text", F.lit(""))).alias("spans"),
-        F.size("more").cast("bigint").alias("n_other"),
+        F.size("more").cast("bigint").alias("n_other"), (F.size("base") + F.size("more")).cast("bigint").alias("n_spans"),
     )

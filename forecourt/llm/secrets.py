@@ -202,10 +202,10 @@ def joined(spans: list[Span]) -> str:
 
 _FOUND = pa.schema(
     [("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()),
-     ("base_sha256", pa.string()), ("spans", pa.string()), ("n_named", pa.int64())]
+     ("base_sha256", pa.string()), ("spans", pa.string()), ("n_named", pa.int64()), ("n_spans", pa.int64())]
 )
 FOUND = (
-    "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_named bigint"
+    "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_named bigint, n_spans bigint"
 )
 
 
@@ -216,7 +216,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base, spans = all_spans(text.as_py() or "")
             n = Counter(k for k, _, _ in spans)
             digest = hashlib.sha256(joined(base).encode()).hexdigest()
-            rows.append((doc_id, n["assign"], n["access"], n["hex"], digest, joined(spans), n["named"]))
+            rows.append((doc_id, n["assign"], n["access"], n["hex"], digest, joined(spans), n["named"], len(spans)))
         if rows:
             columns = zip(zip(*rows, strict=True), _FOUND, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in columns], schema=_FOUND)
