@@ -11,11 +11,15 @@ from forecourt import refdata
 from forecourt.functions import text
 
 
+def active_stations(stations: DataFrame, statuses: Iterable[str] = refdata.ACTIVE_STATUSES) -> DataFrame:
+    return stations.where(F.col("status_gs").isin(*statuses))
+
+
 def located_stations(
     stations: DataFrame, addresses: DataFrame, statuses: Iterable[str] = refdata.ACTIVE_STATUSES
 ) -> DataFrame:
     """(gs_id, lat_text, lon_text) of active stations that have coordinates."""
-    active = stations.where(F.col("status_gs").isin(*statuses)).select("gs_id")
+    active = active_stations(stations, statuses).select("gs_id")
     parts = addresses.select(
         "gs_id",
         text.gps_part(F.col("gps_var"), 1).alias("lat_text"),
@@ -74,7 +78,7 @@ def station_directory(
     lines = addresses.select("gs_id", address.alias("address"), F.col("gps_var").alias("gps"))
     blank_line = F.lit("")  # a station without an address row
     return (
-        stations.where(F.col("status_gs").isin(*statuses))
+        active_stations(stations, statuses)
         .join(brand, "brand_id", "left")
         .join(affiliation, "affiliation_id", "left")
         .join(region, "region_id", "left")

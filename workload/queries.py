@@ -105,11 +105,8 @@ def all_changes(spark, sf):
 
 @query
 def scan_directory(spark, sf):
-    return (
-        fx.gas_stations(spark, sf)
-        .where(F.col("status_gs").isin(*refdata.ACTIVE_STATUSES))
-        .select("gs_id", "owner_type", "type", "status_gs", "owner_number")
-    )
+    active = stations.active_stations(fx.gas_stations(spark, sf))
+    return active.select("gs_id", "owner_type", "type", "status_gs", "owner_number")
 
 
 @query
