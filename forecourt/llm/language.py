@@ -188,20 +188,31 @@ def documents_probabilities(net: Network, column: pa.Array) -> np.ndarray:
     return total / np.maximum(lengths, 1)[:, None]
 
 
-def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
-    """The network from docs (text, lang); None where there is nothing to learn from."""
+def training_windows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame | None:
+    """lang, h, windows of at most ``per_language`` texts of each language, copies once; None without labelled texts.
+
+    Texts are chosen by their hash, about twice as many as wanted, before anything is shuffled, so that no text is; of
+    these the first are taken.
+    """
     known = docs.where("isnotnull(lang) and length(text) > 0").select("lang", "text", F.xxhash64("text").alias("h"))
-    starts = [F.lit(1) + F.pmod(F.xxhash64(F.lit(i), "h"), F.greatest(F.lit(1), F.length("text") - WINDOW)).cast("int") for i in range(WINDOWS)]
-    cut = F.array(*[F.substring("text", s, F.lit(WINDOW)) for s in starts]).alias("windows")
-    # about twice as many documents as wanted of each language, by hash, before anything is shuffled; then the first of these
-    sizes = docs.where("isnotnull(lang)").groupBy("lang").agg(F.count(F.lit(1)).alias("size")).collect()  # one row per language
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("size")).collect()  # one row per language
     if not sizes:
         return None
     share = {r["lang"]: (20 + 2 * per_language) / r["size"] for r in sizes}
     shares = F.create_map(*[F.lit(x) for item in share.items() for x in item])
+    starts = [F.lit(1) + F.pmod(F.xxhash64(F.lit(i), "h"), F.greatest(F.lit(1), F.length("text") - WINDOW)).cast("int") for i in range(WINDOWS)]
+    cut = F.array(*[F.substring("text", s, F.lit(WINDOW)) for s in starts]).alias("windows")
     some = known.where(F.pmod("h", F.lit(1_000_003)) / 1_000_003 <= F.try_element_at(shares, F.col("lang"))).select("lang", "h", cut)
+    once = some.groupBy("lang", "h").agg(F.min("windows").alias("windows"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "windows"))
-    picked = some.withColumn("n", rank).where(F.col("n") <= per_language)
+    return once.withColumn("n", rank).where(F.col("n") <= per_language).drop("n")
+
+
+def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
+    """The network from docs (text, lang); None where there is nothing to learn from."""
+    picked = training_windows(docs, per_language)
+    if picked is None:
+        return None
     rows = picked.select("lang", "h", F.explode("windows").alias("window")).orderBy("lang", "h", "window").collect()
     if not rows:
         return None

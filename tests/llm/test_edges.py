@@ -429,6 +429,18 @@ def test_language(spark, docs, nobody):
     assert language.identify(nobody, net).count() == 0
 
 
+def test_texts_for_training_are_not_shuffled(spark, tmp_path):
+    rows = [(i, f"text {i} of some length " * 9, "ab"[i % 2]) for i in range(3000)] + [(9000 + i, "one text that comes over and over again", "a") for i in range(1500)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "docs"))
+    picked = language.training_windows(spark.read.parquet(str(tmp_path / "docs")), 100)
+    got = picked.collect()
+    assert {k: sum(r["lang"] == k for r in got) for k in "ab"} == {"a": 100, "b": 100}
+    plan = picked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    below = [plan.splitlines()[i + 1 :] for i, line in enumerate(plan.splitlines()) if "Exchange" in line]
+    assert below and all("text#" not in rest[0] for rest in below)
+    assert len({r["h"] for r in got}) == 200  # copies count once
+
+
 def test_toxicity(spark, docs, nobody):
     rng = np.random.default_rng(6)
     plain = [f"w{i}" for i in range(300)]
