@@ -32,23 +32,29 @@ def restore_table(spark: SparkSession, path: str) -> None:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
-    """Write under a fixed name.
+    """Write under a fixed name; ``mode`` is overwrite, error (the table must not be there yet) or append.
 
-    An existing table is replaced only when the new one has been written as a whole beside it, so ``df`` may
-    read the table it replaces, and a job that fails leaves the old one as it was. The swap is two
+    A new table is written as a whole beside its place and then moved there. So ``df`` may read the table it
+    replaces, a job that fails leaves the old one as it was, and the name never holds a part of a table. A replacement is two
     renames; should the driver be lost between them, the next write, or ``restore_table``, brings the old one back.
     """
     path = path.rstrip("/")
-    if mode != "overwrite":
-        _save(df, path, fmt, mode)
-        return path
     spark = df.sparkSession
     restore_table(spark, path)
     files, name = _files(spark, path)
+    if mode == "append":
+        _save(df, path, fmt, mode)
+        return path
+    if mode not in ("overwrite", "error"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode == "error" and files.exists(name(path)):
+        raise FileExistsError(f"PATH_ALREADY_EXISTS: {path}")
     mark = uuid.uuid4().hex
     beside, old = name(f"{path}.new-{mark}"), name(f"{path}.old-{mark}")
     try:
         _save(df, beside.toString(), fmt, "error")
+        if mode == "error" and files.exists(name(path)):
+            raise FileExistsError(f"PATH_ALREADY_EXISTS: {path}")
     except Exception:
         files.delete(beside, True)
         raise

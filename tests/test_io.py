@@ -162,6 +162,20 @@ def test_a_job_that_fails_half_way_leaves_the_old_table(spark, tmp_path):
     assert [f.name for f in tmp_path.iterdir()] == ["t"]
 
 
+def test_a_run_that_failed_can_be_run_again(spark, tmp_path):
+    failing = spark.range(0, 100, 1, 8).select(F.when(F.col("id") == 99, F.raise_error(F.lit("half way")).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="half way"):
+        sinks.write_run(failing, str(tmp_path), "t", "7")
+    assert list(tmp_path.iterdir()) == []
+    path = sinks.write_run(spark.range(3), str(tmp_path), "t", "7")
+    with pytest.raises(FileExistsError):
+        sinks.write_run(spark.range(4), str(tmp_path), "t", "7")
+    sinks.write_table(spark.range(3, 5), path, mode="append")
+    assert rows(spark.read.parquet(path)) == [(i,) for i in range(5)]
+    with pytest.raises(ValueError):
+        sinks.write_table(spark.range(1), path, mode="ignore")
+
+
 def test_an_interrupted_swap_is_finished(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_table(spark.range(3), path)
