@@ -12,6 +12,9 @@ double precision.
   a pair at the wanted cosine shares ``SHARED`` filters on average. So a larger table gets narrower and more filters, with the same
   chance to meet; the number of filters a vector belongs to grows slowly.
 * Equal vectors of a label are one node with a number of copies, folded before any shuffle of filters.
+* Every node has a sketch, the signs of ``SIGNS`` random projections. A member of a small filter goes on only if its sketch differs from
+  that of another member in at most ``FAR`` signs, so unrelated vectors that share a filter cost a few bytes and not their
+  coordinates. A pair at the wanted cosine is farther apart than that less than once in 100,000 times.
 * A filter with many members is split into blocks of about ``BLOCK``, and every two blocks meet in a
   task of their own as one matrix product, so no task holds a whole filter.
 * A linked pair counts in the smallest filter that both have; so n_links is exact for what was found, without
@@ -46,6 +49,7 @@ FEW_CAP, FEW_CODES = 0.42, 8
 #: Cost of a member met in a filter, and of a code word of a rotation, against that of belonging to a filter.
 MEET_COST, CODE_COST = 4, 0.007
 BLOCK = 256
+SIGNS, FAR = 128, 34
 _CACHE: dict = common._Cache()
 
 
@@ -108,6 +112,14 @@ class Filters:
         return rows[order], filters[order]
 
 
+def signs(unit: np.ndarray) -> np.ndarray:
+    """The sketches of some unit vectors, as two 64-bit numbers each."""
+    key = ("signs", unit.shape[1])
+    if key not in _CACHE:
+        _CACHE[key] = np.random.Generator(np.random.PCG64(unit.shape[1] + 7)).normal(size=(unit.shape[1], SIGNS))
+    return np.packbits(unit @ _CACHE[key] > 0, axis=1, bitorder="little").view(np.int64)
+
+
 def filters_of(length: int, cap: float, codes: int, turns: int) -> Filters:
     key = (length, cap, codes, turns)
     if key not in _CACHE:
@@ -130,13 +142,14 @@ def units(column: pa.Array) -> np.ndarray | list[np.ndarray]:
 
 
 def _decode(cosine: float, vectors: int, cap: float | None, codes: int | None, turns: int):
-    """Adds to each node the filters it belongs to."""
+    """Adds to each node the filters it belongs to and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = units(batch.column("embedding"))
             lengths = np.array([len(v) for v in rows])
             found: list = [None] * len(rows)
+            sketch = np.zeros((len(rows), 2), np.int64)
             for length in np.unique(lengths).tolist():
                 shape = shape_of(length, vectors, cosine, turns)
                 filters = filters_of(length, cap or shape[0], codes or shape[1], turns)
@@ -145,14 +158,62 @@ def _decode(cosine: float, vectors: int, cap: float | None, codes: int | None, t
                 some = max(16, (1 << 20) // (codes or shape[1]))
                 for first in range(0, len(own), some):
                     part = own[first : first + some]
-                    row, names = filters.decode(np.array([rows[i] for i in part]))
+                    unit = np.array([rows[i] for i in part])
+                    sketch[part] = signs(unit)
+                    row, names = filters.decode(unit)
                     for i, mine in zip(part, np.split(names, np.searchsorted(row, np.arange(1, len(part)))), strict=True):
                         found[i] = mine
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))], names=[*batch.schema.names, "filters"])
+            more = [pa.array(found, pa.list_(pa.int64())), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "filters", "s0", "s1"])
 
     return run
 
 
+def hopeful(group: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Which rows have another row of their group at most ``FAR`` signs away; groups come one after the other."""
+    out = np.zeros(len(group), bool)
+    left = np.arange(len(group) - 1)
+    apart = 1
+    while len(left):
+        left = left[left + apart < len(group)]
+        left = left[group[left] == group[left + apart]]
+        near = np.bitwise_count((sketch[left] ^ sketch[left + apart]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= FAR
+        out[left[near]] = True
+        out[left[near] + apart] = True
+        apart += 1
+    return out
+
+
+def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drops the members of small filters without a partner by sketch; rows come sorted by filter, large filters pass."""
+    waiting: pa.RecordBatch | None = None
+
+    def sifted(rows: pa.RecordBatch) -> pa.RecordBatch:
+        key = np.stack([rows.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("label", "length", "filter")])
+        group = np.concatenate(([0], np.cumsum((key[:, 1:] != key[:, :-1]).any(axis=0))))
+        small = rows.column("n").to_numpy() <= BLOCK
+        keep = ~small
+        at = np.flatnonzero(small)
+        keep[at] = hopeful(group[at], np.column_stack([rows.column(c).to_numpy() for c in ("s0", "s1")])[at])
+        return rows.drop_columns(["s0", "s1"]).filter(pa.array(keep))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = batch if waiting is None else pa.Table.from_batches([waiting, batch]).combine_chunks().to_batches()[0]
+        last = [rows.column(c)[-1].as_py() for c in ("label", "length", "filter")]
+        cut = rows.num_rows
+        # a small filter that may go on in the next batch waits, at most BLOCK rows
+        if rows.column("n")[-1].as_py() <= BLOCK:
+            while cut and cut > rows.num_rows - BLOCK and [rows.column(c)[cut - 1].as_py() for c in ("label", "length", "filter")] == last:
+                cut -= 1
+        waiting = rows.slice(cut)
+        if cut:
+            yield sifted(rows.slice(0, cut))
+    if waiting is not None and waiting.num_rows:
+        yield sifted(waiting)
+
+
 def _pair(cosine: float, filter: int, apart: bool, node, code, copies, side, unit, filters) -> list[tuple[int, int, int, int]]:
     """Links inside one block of a filter, or between two (``apart``): per linked node its links and an edge."""
     near = unit @ unit.T >= cosine
@@ -241,12 +302,14 @@ def near_vectors(
     # rounded up to a power of two, so that nearly equal tables have the same filters
     most = 1 << max(0, most - 1).bit_length()
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema)
-    nodes = materialise(nodes.mapInArrow(_decode(cosine, most, cap, codes, turns), f"{kinds}, filters array<bigint>"), "filters")
-    member = nodes.select("label", F.size("embedding").alias("length"), F.explode("filters").alias("filter"), "node", "code")
+    nodes = materialise(nodes.mapInArrow(_decode(cosine, most, cap, codes, turns), f"{kinds}, filters array<bigint>, s0 bigint, s1 bigint"), "filters")
+    member = nodes.select("label", F.size("embedding").alias("length"), F.explode("filters").alias("filter"), "node", "code", "s0", "s1")
     key = ["label", "length", "filter"]
     sizes = member.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     placed = member.join(sizes, key).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     placed = placed.withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.drop("s0", "s1").schema)
+    placed = placed.repartition(*key, "own").sortWithinPartitions(*key).mapInArrow(_sift, kinds)
     meeting = F.explode(
         F.transform(
             F.sequence(F.lit(0), F.col("blocks") - 1),
