@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from forecourt import refdata
 from forecourt.functions.prices import lookup
 from forecourt.operators.skew import group_apart
-from forecourt.session import materialise
+from forecourt.session import materialise, materialise_seen
 
 CHANGE_COLUMNS = {
     "rule": "string",
@@ -95,25 +95,40 @@ def grain_filter(grain: str) -> Column:
     return reduce(Column.__and__, (test if c in GRAINS[grain] else ~test for c, test in has.items()))
 
 
+def _checks(order: Sequence[str], grains: Sequence[str]) -> dict[str, Column]:
+    applied = reduce(Column.__or__, map(grain_filter, grains))
+    rule = F.coalesce("rule", F.lit("NULL"))
+    no_place = ~F.coalesce(F.col("rule").isin(*order), F.lit(False))
+    return {
+        "n": F.count(F.lit(1)),
+        "no_place": F.max(F.when(no_place, rule)),
+        "no_grain": F.max(F.when(~applied, rule)),
+    }
+
+
+def _refuse(seen: dict) -> int:
+    if seen["no_place"] is not None:
+        raise ValueError(f"rule without a place in the order: {seen['no_place']}")
+    if seen["no_grain"] is not None:
+        raise ValueError(f"change of a grain that is not applied, by rule {seen['no_grain']}")
+    return seen["n"] or 0
+
+
 def checked_rows(changes: DataFrame, order: Sequence[str], grains: Sequence[str]) -> int:
     """Number of changes; raises if one of them has a rule or a grain that would not be run.
 
     An aggregate over the changes alone, read on the driver: a check inside a join can be lost to
     filters that the optimizer infers from the join.
     """
-    applied = reduce(Column.__or__, map(grain_filter, grains))
-    rule = F.coalesce("rule", F.lit("NULL"))
-    no_place = ~F.coalesce(F.col("rule").isin(*order), F.lit(False))
-    row = changes.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.when(no_place, rule)).alias("no_place"),
-        F.max(F.when(~applied, rule)).alias("no_grain"),
-    ).first()
-    if row["no_place"] is not None:
-        raise ValueError(f"rule without a place in the order: {row['no_place']}")
-    if row["no_grain"] is not None:
-        raise ValueError(f"change of a grain that is not applied, by rule {row['no_grain']}")
-    return row["n"]
+    return _refuse(changes.agg(*(value.alias(name) for name, value in _checks(order, grains).items())).first().asDict())
+
+
+def store_changes(
+    changes: DataFrame, name: str = "changes", order: Sequence[str] = RULE_ORDER, grains: Iterable[str] = tuple(GRAINS)
+) -> tuple[DataFrame, int]:
+    """The changes, written, and their number; checked as by ``checked_rows`` in the job that writes them."""
+    written, seen = materialise_seen(changes, name, **_checks(order, tuple(grains)))
+    return written, _refuse(seen)
 
 
 def gathered(changes: DataFrame, grain: str, order: Sequence[str]) -> DataFrame:
@@ -194,10 +209,12 @@ def apply_changes(
     grains: Iterable[str] = tuple(GRAINS),
     updated_by: int = refdata.UPDATED_BY_ID,
     broadcast_rows: int = refdata.BROADCAST_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """The price table as it is after one update per rule, run in ``order``.
 
-    ``changes`` are counted first, so write out those that are costly to compute. Up to ``broadcast_rows``
+    ``changes`` are counted first, so write out those that are costly to compute; ``rows`` is their number
+    where ``store_changes`` has told it. Up to ``broadcast_rows``
     of them are sent to every executor, and the table is not shuffled at all. Beyond, the outcome is
     worked out on the few columns that decide it and the table takes part in one join, in which Spark
     splits hot keys.
@@ -208,7 +225,7 @@ def apply_changes(
     grains = tuple(grains)
     if not grains:
         raise ValueError("no grains to apply")
-    few = checked_rows(changes, order, grains) <= broadcast_rows
+    few = (checked_rows(changes, order, grains) if rows is None else rows) <= broadcast_rows
     result = (joined_directly if few else joined_by_outcome)(table, changes, order, grains)
     touched = F.col("_outcome").isNotNull()
     written = {

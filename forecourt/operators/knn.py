@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from forecourt import refdata
 from forecourt.functions.geo import MORTON_BITS, haversine_km, morton, squared_chord, unit_vector
-from forecourt.session import materialise
+from forecourt.session import materialise, materialise_seen
 
 DISTANCE = "dist, km"
 DISTANCE_DIGITS = 6  # a millimetre; nearer than that is a tie, decided by the id
@@ -16,7 +16,7 @@ WHOLE_SPHERE = 2.0
 DEEPEST = MORTON_BITS  # levels of cells
 LEAF_SPOTS = 32
 STRIDE = 2  # levels between a node and its children
-MOST_TILE_ROWS = 500_000
+TILE_ROWS, MOST_TILE_ROWS = 16_384, 500_000
 AXES = ("x", "y", "z")
 
 
@@ -46,11 +46,14 @@ def _tiles(spots: DataFrame, edge: int, tile_rows: int) -> DataFrame:
     placed = spots.select("lat", "lon", "ids", x.alias("x"), y.alias("y"), z.alias("z")).withColumn(
         "curve", morton(F.col("x"), F.col("y"), F.col("z"))
     )
-    placed = materialise(placed, "spots-placed")
-    count = placed.count()
+    placed, seen = materialise_seen(placed, "spots-placed", n=F.count(F.lit(1)))
+    count = seen["n"] or 0
     parallel = int(spots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tiles = max(1, min(count // max(tile_rows, 4 * edge), max(parallel, count // MOST_TILE_ROWS)))
     along = Window.partitionBy("tile").orderBy("curve", "lat", "lon")
+    if tiles == 1:
+        whole = placed.withColumn("tile", F.lit(0).cast("bigint")).withColumn("in_tile", F.col("tile")).withColumn("own", F.lit(True))
+        return whole.withColumn("position", (F.row_number().over(along) - 1).cast("bigint"))
     cut = placed.repartitionByRange(tiles, "curve", "lat", "lon").withColumn("tile", F.spark_partition_id().cast("bigint"))
     cut = materialise(cut.withColumn("position", (F.row_number().over(along) - 1).cast("bigint")), "tiles")
     # one row per tile
@@ -163,14 +166,13 @@ def _descend(rows: DataFrame, children: DataFrame, keep: int) -> DataFrame:
     return shrunk.select("spot", *about, left).select("spot", *about, "v.*")
 
 
-def nearest_spots(data: DataFrame, keep: int, radius_km: float = refdata.EARTH_RADIUS_KM) -> DataFrame:
-    """(lat, lon, point2, distance, rank): the ``keep`` nearest ids of every spot.
+def nearest_spots(data: DataFrame, depth: int, keep: int, radius_km: float = refdata.EARTH_RADIUS_KM) -> DataFrame:
+    """(lat, lon, point2, distance, rank): the ``keep`` nearest ids of every spot; ``depth`` is the level of the deepest leaf.
 
     From the top of the tree down to the leaves within reach, then to their spots. Only equi joins; a
     leaf is small, and a spot asks for few.
     """
     tree = materialise(_tree(data), "tree")
-    depth = tree.agg(F.max("level")).first()[0] or 0
     rows = data.select(
         *("spot", "lat", "lon", *AXES, "reach2"), F.lit(4.0).alias("max2"), F.lit(0.0).alias("min2"),
         F.lit(0).cast("bigint").alias("n"), _above(F.col("node"), F.col("level")).alias("node"), F.lit(0).cast("bigint").alias("part"), F.lit(True).alias("open"),
@@ -201,7 +203,7 @@ def knn_pairs(
     radius_km: float = refdata.EARTH_RADIUS_KM,
     include_self: bool = True,
     leaf_spots: int = LEAF_SPOTS,
-    tile_rows: int = 2048,
+    tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """(point1, point2, rank, 'dist, km') of the k nearest points of every point.
 
@@ -213,8 +215,9 @@ def knn_pairs(
         raise ValueError("k must be positive")
     keep = k if include_self else k + 1
     points = points.select("id", "lat", "lon")
-    data = materialise(_leaves(_spots(points, keep), keep, tile_rows, leaf_spots), "spots")
-    pairs = points.withColumnRenamed("id", "point1").join(nearest_spots(data, keep, radius_km), ["lat", "lon"])
+    data, seen = materialise_seen(_leaves(_spots(points, keep), keep, tile_rows, leaf_spots), "spots", depth=F.max("level"))
+    near = nearest_spots(data, seen["depth"] or 0, keep, radius_km)
+    pairs = points.withColumnRenamed("id", "point1").join(near, ["lat", "lon"])
     if not include_self:
         order = Window.partitionBy("point1").orderBy("rank")
         pairs = (

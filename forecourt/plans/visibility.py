@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from forecourt import refdata
 from forecourt.functions.prices import day
 from forecourt.operators import activation, expiry, extract, in_report, replacement, summary
-from forecourt.operators.changes import apply_changes, union_all
+from forecourt.operators.changes import apply_changes, store_changes, union_all
+from forecourt.operators.skew import group_apart
 from forecourt.session import materialise, require_utc, run_folder
 
 WORKING_COLUMNS = ["station_id", "product_id", "price", "source", "show_in_report", "updated_at"]
@@ -92,20 +93,22 @@ STAGES = (
 )
 
 
-def after_stage(state: list[DataFrame], changes: DataFrame, grains: tuple[str, ...]) -> list[DataFrame]:
+def after_stage(state: list[DataFrame], changes: DataFrame, grains: tuple[str, ...], rows: int) -> list[DataFrame]:
     """The working rows after a stage, as parts to be united.
 
     Only the rows of the stations that the stage changed are read again, and get that stage's own
     changes; the other rows stay where they were written.
     """
-    changed = materialise(changes.select("station_id").distinct(), "changed-stations")
+    if not rows:
+        return state
+    changed = group_apart(changes, ["station_id"])
     again = union_all(part.join(changed, "station_id", "left_semi") for part in state)
-    again = materialise(apply_changes(again, changes, grains=grains), "prices-changed")
+    again = materialise(apply_changes(again, changes, grains=grains, rows=rows), "prices-changed")
     return [*(part.join(changed, "station_id", "left_anti") for part in state), again]
 
 
-def visibility_changes(tables: PriceTables, as_of: date) -> DataFrame:
-    """All changes of one run, stage by stage.
+def visibility_changes(tables: PriceTables, as_of: date) -> tuple[DataFrame, int]:
+    """All changes of one run, stage by stage, and their number.
 
     The stages work on the recent rows of the stations in scope, with the columns the rules
     need: no rule can see any other row, whatever the stages before it changed. These rows
@@ -118,11 +121,15 @@ def visibility_changes(tables: PriceTables, as_of: date) -> DataFrame:
     )
     state = [materialise(working, "prices-in-scope")]
     done: list[DataFrame] = []
+    total = 0
     for stage, rules, grains in STAGES:
-        done.append(materialise(rules(extract.as_snapshot(union_all(state), as_of), as_of), f"changes-{stage}"))
+        found = rules(extract.as_snapshot(union_all(state), as_of), as_of)
+        changes, rows = store_changes(found, f"changes-{stage}", grains=grains)
+        done.append(changes)
+        total += rows
         if stage != STAGES[-1][0]:
-            state = after_stage(state, done[-1], grains)
-    return union_all(done)
+            state = after_stage(state, changes, grains, rows)
+    return union_all(done), total
 
 
 def price_visibility(tables: PriceTables, as_of: date) -> DataFrame:
@@ -132,4 +139,5 @@ def price_visibility(tables: PriceTables, as_of: date) -> DataFrame:
     """
     require_utc(tables.prices.sparkSession)
     with run_folder(tables.prices.sparkSession, keep=True):
-        return apply_changes(tables.prices, visibility_changes(tables, as_of))
+        changes, rows = visibility_changes(tables, as_of)
+        return apply_changes(tables.prices, changes, rows=rows)

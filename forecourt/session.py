@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -116,3 +116,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{_RUN.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_seen(df: DataFrame, name: str, **seen: Column) -> tuple[DataFrame, dict]:
+    """``materialise``, and aggregates of the rows from the job that writes them (None where there are no rows to see)."""
+    found = Observation()
+    written = materialise(df.observe(found, *(value.alias(key) for key, value in seen.items())), name)
+    values = found.get
+    return written, {key: values.get(key) for key in seen}

@@ -80,7 +80,7 @@ def test_every_case(tables):
 
 def test_changes_name_their_rules(tables):
     by_rule = {}
-    for rule, station in rows(visibility_changes(tables, AS_OF), "rule", "station_id"):
+    for rule, station in rows(visibility_changes(tables, AS_OF)[0], "rule", "station_id"):
         by_rule.setdefault(rule, set()).add(station)
     assert by_rule == {
         "off_expired_trusted": {1},

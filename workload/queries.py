@@ -413,8 +413,8 @@ def report_text(spark, sf):
 @query
 def apply_changes(spark, sf):
     """Every rule's changes, computed on the initial table, run in order."""
-    found = materialise(all_changes(spark, sf), "changes")  # read once per grain
-    done = changes.apply_changes(fx.prices(spark, sf), found)
+    found, rows = changes.store_changes(all_changes(spark, sf))
+    done = changes.apply_changes(fx.prices(spark, sf), found, rows=rows)
     return done.select("station_id", "product_id", "source", "show_in_report", "updated_by_id")
 
 
