@@ -273,6 +273,14 @@ def deviations(x: np.ndarray, n: int, sums: list[int]) -> list[Decimal | None]:
     return [Decimal(v) if v < _MOST else None for v in found]
 
 
+def projected(x: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """x u, added up in one order whatever the number of rows, so equal rows give equal numbers to the last bit."""
+    out = np.zeros((len(x), u.shape[1]))
+    for column, weights in zip(x.T, u, strict=True):
+        out += column[:, None] * weights
+    return out
+
+
 def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     """Per row (vec_id, embedding) that is not dropped and component: vec_id, component, n, deviation, whitened, explained, identity_error."""
     blocks, length = packed(vectors)
@@ -296,7 +304,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.take(pa.array(times)), pa.array(np.tile(np.arange(1, k + 1), rows), pa.int32()), pa.array(np.full(rows * k, n)),
-                    pa.array(deviations(x, n, sums), pa.decimal128(38)).take(pa.array(times)), pa.array((((x - low) - rest) @ u).ravel()),
+                    pa.array(deviations(x, n, sums), pa.decimal128(38)).take(pa.array(times)), pa.array(projected((x - low) - rest, u).ravel()),
                     pa.array(np.tile(values / trace, rows)), pa.array(np.full(rows * k, error)),
                 ],
                 schema=_WHITENED,
