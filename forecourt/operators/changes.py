@@ -52,6 +52,9 @@ GRAINS = {
     "station": ["station_id"],
 }
 
+# a change-set of at most so many rows, some 150 bytes each, is sent to every task
+BROADCAST_CHANGES = 300_000
+
 # what decides, besides the changes, on the outcome of a row
 ROW_KEY = ["station_id", "source", "product_id", "updated_at", "show_in_report"]
 
@@ -208,7 +211,7 @@ def apply_changes(
     order: Sequence[str] = RULE_ORDER,
     grains: Iterable[str] = tuple(GRAINS),
     updated_by: int = refdata.UPDATED_BY_ID,
-    broadcast_rows: int = refdata.BROADCAST_ROWS,
+    broadcast_rows: int = BROADCAST_CHANGES,
     rows: int | None = None,
 ) -> DataFrame:
     """The price table as it is after one update per rule, run in ``order``.
