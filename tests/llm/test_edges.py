@@ -462,3 +462,29 @@ def test_toxicity(spark, docs, nobody):
     assert toxicity.score(nobody, models, share).count() == 0
     assert toxicity.learn(frame, marks.limit(0)) == (None, 0.0)
     assert {r["score"] for r in toxicity.score(docs, None, 0.25).collect()} == {0.25}
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    n = 32_000
+    frame = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), F.col("id") % 40, F.when(F.col("id") % 2 == 0, " bad").otherwise("")).alias("text"))
+    marks = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 2 == 0).cast("int").alias("toxic"))
+    seen = {}
+    trusted, fit = toxicity.trusted, toxicity.fit_logistic
+
+    def see_trusted(counts, *sizes):
+        seen["models"] = (counts.agg(F.max(F.col("toxic")), F.sum("plain")).first(), sizes)
+        return trusted(counts, *sizes)
+
+    def see_fit(rows, *rest):
+        seen["fit"] = rows.count()
+        return fit(rows, *rest)
+
+    monkeypatch.setattr(toxicity, "trusted", see_trusted)
+    monkeypatch.setattr(toxicity, "fit_logistic", see_fit)
+    models, share = toxicity.learn(frame, marks)
+    learned = marks.where(common.fold_of("doc_id", toxicity.FOLDS) != toxicity.HELD_OUT).withColumn("later", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0)
+    rows = {(r["later"], r["toxic"]): r["count"] for r in learned.groupBy("later", "toxic").count().collect()}
+    assert seen["models"][1] == (rows[False, 1], rows[False, 0]) and seen["models"][0][0] == rows[False, 1]
+    assert seen["fit"] == rows[True, 0] + rows[True, 1]
+    got = toxicity.score(frame, models, share).where("predicted != if(doc_id % 2 = 0, 1, 0)")
+    assert got.count() == 0
