@@ -201,3 +201,13 @@ def test_a_spot_of_half_the_points_is_split(shuffling):
     assert pairs.count() == 60_000
     at_spot = pairs.where("point1 % 2 = 0").groupBy("rank", "point2").count().collect()
     assert sorted(map(tuple, at_spot)) == [(1, 0, 10_000), (2, 2, 10_000), (3, 4, 10_000)]
+
+
+def test_a_task_does_not_grow_with_a_shuffle(spark):
+    """However few partitions the session has, a task reads a bounded part of a large shuffle."""
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    made = spark.range(2_000_000).select(F.sha2(F.col("id").cast("string"), 256).alias("key")).groupBy("key").count()
+    tasks = made.select(F.spark_partition_id().alias("part")).agg(F.countDistinct("part")).first()[0]
+    assert tasks >= 8
+    few = spark.range(200).groupBy((F.col("id") % 7).alias("key")).count().select(F.spark_partition_id().alias("part")).agg(F.countDistinct("part"))
+    assert few.first()[0] == 1
