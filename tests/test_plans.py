@@ -211,3 +211,10 @@ def test_a_task_does_not_grow_with_a_shuffle(spark):
     assert tasks >= 8
     few = spark.range(200).groupBy((F.col("id") % 7).alias("key")).count().select(F.spark_partition_id().alias("part")).agg(F.countDistinct("part"))
     assert few.first()[0] == 1
+
+
+def test_rows_meet_only_grains_that_have_changes(shuffling):
+    """One join and its two shuffles for changes of one grain, and the rows are not gathered again."""
+    changes = hot_changes(shuffling).where("product_id IS NULL")
+    text = plan(outcomes(hot_table(shuffling), changes, RULE_ORDER, ("source", "source_product", "product", "station")))
+    assert text.count("SortMergeJoin") == 1 and "collect_list" not in text
