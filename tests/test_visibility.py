@@ -3,9 +3,18 @@
 from __future__ import annotations
 
 import pytest
-from helpers import AS_OF, rows, table
+from helpers import AS_OF, plan, rows, table
 
-from forecourt.plans.visibility import PriceTables, price_visibility, visibility_changes
+from forecourt.operators import extract, summary
+from forecourt.operators.changes import joined_in_place, outcomes_in_place
+from forecourt.plans.visibility import (
+    WORKING_COLUMNS,
+    PriceTables,
+    expiry_changes,
+    parts_of,
+    price_visibility,
+    visibility_changes,
+)
 
 GPN, PPR, YANDEX, BENZUBER = "api_gpn", "api_ppr", "api_yandex_fuel", "api_benzuber"
 
@@ -102,3 +111,29 @@ def test_changes_name_their_rules(tables):
 def test_nothing_in_the_tables(spark, tables):
     empty = PriceTables(**{name: getattr(tables, name).limit(0) for name in PriceTables.__dataclass_fields__})
     assert rows(price_visibility(empty, AS_OF)) == []
+
+
+def spread_and_in_buckets(tables, **limits):
+    return rows(price_visibility(tables, AS_OF, broadcast_rows=0, **limits), "station_id", "product_id", "source", "show_in_report", "updated_by_id")
+
+
+def test_stations_in_buckets_and_stations_with_many_rows_agree(tables):
+    """Buckets of few rows, and some or all stations too large for one: the same outcome, that of every case."""
+    expected = sorted((s, p, src, *after) for (s, p, _, src, _, _), after in CASES)
+    assert spread_and_in_buckets(tables) == expected
+    assert spread_and_in_buckets(tables, bucket_rows=10, station_rows=2) == expected
+
+
+def test_stages_shuffle_no_rows_of_a_bucket(spark, tables, tmp_path):
+    """Summaries, changes and rows in buckets of stations are grouped and joined where they are."""
+    part = parts_of(tables.prices.select(*WORKING_COLUMNS), bucket_rows=10)[0]
+    assert part.buckets > 1
+    with part.planning():
+        snapshot = extract.as_snapshot(part.rows, AS_OF)
+        products = part.keep()(summary.product_summary(snapshot, AS_OF), "products")
+        assert "Exchange hashpartitioning" not in plan(summary.product_summary(snapshot, AS_OF))
+        changes = part.keep()(expiry_changes(snapshot, AS_OF), "changes")
+        stages = [(changes, ("source", "source_product", "product"))]
+        assert "Exchange hashpartitioning" not in plan(joined_in_place(part.rows, stages))
+        assert "Exchange hashpartitioning" not in plan(outcomes_in_place(part.rows, stages))
+        assert "Exchange hashpartitioning" not in plan(summary.judge_sources(products))
